@@ -7,20 +7,21 @@ choose how to bring it back to the rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyframe.session import limit, shared_folder
 
 
 @dataclass(frozen=True)
-class Stored:
-    """A checkpointed table with its measured rows and bytes."""
+class Sized:
+    """A table and a proven upper bound of its rows and bytes."""
 
     df: DataFrame
     rows: int
     bytes: int
+    stats: dict = field(default_factory=dict)
 
     @property
     def broadcastable(self) -> bool:
@@ -30,25 +31,43 @@ class Stored:
     def single_task(self) -> bool:
         return self.rows <= limit(self.df.sparkSession, "singleTaskRows")
 
+    def replace(self, df: DataFrame) -> Sized:
+        """The same bound for a projection or filter of this table."""
+        return Sized(df, self.rows, self.bytes)
 
-def _variable_width(field: T.StructField) -> bool:
+    def reduced(self, df: DataFrame) -> Sized:
+        """A table of at most as many rows, such as an aggregate of this one.
+
+        While this table is small its bound holds for `df` as well, whose few
+        added columns double the bytes at most, and nothing is computed.
+        Otherwise `df` is stored and measured.
+        """
+        bound = Sized(df, self.rows, 2 * self.bytes)
+        return bound if bound.broadcastable and bound.single_task else store(df)
+
+
+def _variable_width(column: T.StructField) -> bool:
     return isinstance(
-        field.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+        column.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
     )
 
 
-def store(df: DataFrame | Stored) -> Stored:
-    """Checkpoint `df` in the shared folder and measure it."""
-    if isinstance(df, Stored):
+def store(df: DataFrame | Sized, **stats: Column) -> Sized:
+    """Checkpoint `df` in the shared folder and measure it.
+
+    `stats` are further aggregates to compute while measuring.
+    """
+    if isinstance(df, Sized):
         return df
     shared_folder(df.sparkSession)
     kept = df.checkpoint(eager=True)
     row_bytes = F.lit(16 * max(1, len(kept.columns)))
-    for field in kept.schema.fields:
-        if _variable_width(field):
-            length = F.octet_length(F.col(f"`{field.name}`").cast("string"))
+    for column in kept.schema.fields:
+        if _variable_width(column):
+            length = F.octet_length(F.col(f"`{column.name}`").cast("string"))
             row_bytes = row_bytes + F.coalesce(length, F.lit(0))
     size = kept.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")
+        F.count("*").alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
+        *[value.alias(name) for name, value in stats.items()],
     ).first()
-    return Stored(kept, int(size["n"]), int(size["b"]))
+    return Sized(kept, int(size["n"]), int(size["b"]), {name: size[name] for name in stats})

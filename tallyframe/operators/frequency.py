@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyframe.materialize import Stored, store
+from tallyframe.materialize import Sized, store
 from tallyframe.operators.lookup import all_present, attach
 from tallyframe.operators.ordering import running_sum
 
@@ -23,6 +23,15 @@ def group_size(
     return df.where(all_present(keys)).groupBy(*keys).agg(size.cast("bigint").alias(out))
 
 
+def counted(
+    df: DataFrame | Sized, keys: Sequence[str], out: str = "n", weight: str | None = None
+) -> Sized:
+    """`group_size` with a size bound: stored, or bounded by an already sized input."""
+    if isinstance(df, Sized):
+        return df.reduced(group_size(df.df, keys, out, weight))
+    return store(group_size(df, keys, out, weight))
+
+
 def value_counts(
     df: DataFrame, column: str, out: str = "counts", weight: str | None = None
 ) -> DataFrame:
@@ -36,14 +45,17 @@ def grand_total(df: DataFrame, value: str, out: str = "total") -> DataFrame:
 
 
 def pareto_table(
-    df: DataFrame, column: str, weight: str | None = None,
+    df: DataFrame | Sized, column: str, weight: str | None = None,
     counts: str = "counts", running: str = "cumsum", share: str = "perce",
 ) -> DataFrame:
     """Frequency table with running total and running share, in falling order."""
-    table = store(group_size(df, [column], counts, weight))
-    total = table.df.agg(F.coalesce(F.sum(counts), F.lit(0))).first()[0]
+    table = counted(df, [column], counts, weight)
     ordered = running_sum(table, counts, [F.desc(counts), F.asc(column)], running)
-    return ordered.withColumn(share, F.col(running) / F.lit(float(total)))
+    if table.single_task:
+        total = F.sum(counts).over(Window.partitionBy())
+    else:
+        total = F.lit(table.df.agg(F.sum(counts)).first()[0])
+    return ordered.withColumn(share, F.col(running) / total.cast("double"))
 
 
 def with_group_count(
@@ -66,11 +78,11 @@ def distinct_per_group(
 
 
 def top_of_group(
-    pairs: DataFrame | Stored, group: str, count: str = "n", out: str = "top_n"
+    pairs: DataFrame | Sized, group: str, count: str = "n", out: str = "top_n"
 ) -> DataFrame:
     """Rows of a counted pair table that reach their group's maximum, ties kept."""
     pairs = store(pairs)
-    best = pairs.df.groupBy(group).agg(F.max(count).alias(out))
+    best = pairs.reduced(pairs.df.groupBy(group).agg(F.max(count).alias(out)))
     return attach(pairs.df, best, [group]).where(F.col(count) == F.col(out))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.materialize import Stored, store
+from tallyframe.materialize import Sized, store
 
 # A key holding more than 1/HOT_SHARE of the rows is handled apart. There can
 # be at most HOT_SHARE such keys, so their rows of the lookup always broadcast.
@@ -18,7 +18,7 @@ def all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def attach(df: DataFrame, lookup: DataFrame | Stored, keys: Sequence[str], how: str = "left") -> DataFrame:
+def attach(df: DataFrame, lookup: DataFrame | Sized, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a lookup that has one row per key to `df`.
 
     A lookup whose measured size is under the broadcast bound is broadcast and
@@ -56,16 +56,16 @@ def _attach_split(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -
 
 
 def flag_members(
-    df: DataFrame, members: DataFrame | Stored, column: str, out: str = "is_member"
+    df: DataFrame, members: DataFrame | Sized, column: str, out: str = "is_member"
 ) -> DataFrame:
     """Add a boolean: is `column` among the distinct values of `members`?"""
     kept = store(members)
-    marked = Stored(kept.df.select(column).withColumn(out, F.lit(True)), kept.rows, kept.bytes)
+    marked = kept.replace(kept.df.select(column).withColumn(out, F.lit(True)))
     return attach(df, marked, [column]).withColumn(out, F.coalesce(out, F.lit(False)))
 
 
 def map_or_self(
-    df: DataFrame, mapping: DataFrame | Stored, column: str,
+    df: DataFrame, mapping: DataFrame | Sized, column: str,
     source: str = "source", target: str = "target", within: Sequence[str] = (),
 ) -> DataFrame:
     """Replace `column` by its mapped value, or keep it when it has none."""
@@ -74,7 +74,7 @@ def map_or_self(
     renamed = kept.df.select(
         *within, F.col(source).alias(column), F.col(target).alias("_mapped")
     )
-    joined = attach(df, Stored(renamed, kept.rows, kept.bytes), [*within, column])
+    joined = attach(df, kept.replace(renamed), [*within, column])
     return joined.withColumn(column, F.coalesce("_mapped", column)).select(*order)
 
 

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.similarity import can_exceed, match_masks, score
-from tallyframe.materialize import Stored, store
-from tallyframe.operators.frequency import group_size, top_of_group
+from tallyframe.materialize import Sized, store
+from tallyframe.operators.frequency import counted, top_of_group
 from tallyframe.operators.lookup import attach, map_or_self
 from tallyframe.operators.ordering import rank_rows
 
@@ -20,10 +20,11 @@ FIRST_ROUND = 16
 
 
 def block_leaders(
-    pairs: DataFrame | Stored, block: str, name: str, count: str = "n", min_count: int = 2
-) -> DataFrame:
+    pairs: DataFrame | Sized, block: str, name: str, count: str = "n", min_count: int = 2
+) -> Sized:
     """Names with the greatest count of their block (all ties), if frequent enough."""
-    return (
+    pairs = store(pairs)
+    return pairs.reduced(
         top_of_group(pairs, block, count, "top_n").where(F.col("top_n") >= min_count)
         .select(block, F.col(name).alias("leader"), "top_n")
     )
@@ -33,41 +34,30 @@ def _with_masks(leaders: DataFrame) -> DataFrame:
     return leaders.withColumn("_masks", match_masks(F.col("leader")))
 
 
-def _comparisons(pairs: DataFrame, leaders: DataFrame, block: str) -> tuple[DataFrame, int]:
-    """Names and leaders per block, and how many comparisons they make."""
-    sizes = store(
-        pairs.groupBy(block).agg(F.count("*").alias("_names"))
-        .join(leaders.groupBy(block).agg(F.count("*").alias("_leaders")), block)
-    ).df
-    work = sizes.agg(F.sum(F.col("_names") * F.col("_leaders"))).first()[0]
-    return sizes, int(work or 0)
-
-
-def _meet(pairs: DataFrame, leaders: Stored, block: str) -> tuple[DataFrame, int]:
+def _meet(names: DataFrame, leaders: Sized, block: str, work: int, per_name: int) -> DataFrame:
     """Pair each name with the leaders of its block, spread over many tasks.
 
-    Leaders are few, so they broadcast when their measured size allows it and
-    the names are spread evenly beforehand. Otherwise both sides are shuffled,
-    and a block of many names is cut into parts that each get its leaders.
+    `work` bounds all comparisons and `per_name` those of one name. Leaders are
+    few, so they broadcast when their measured size allows it and the names are
+    spread evenly beforehand. Otherwise both sides are shuffled, and a block of
+    many names is cut into parts that each get a copy of its leaders.
     """
-    spark = pairs.sparkSession
-    sizes, work = _comparisons(pairs, leaders.df, block)
+    spark = names.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(work / PAIRS_PER_TASK))
     if leaders.broadcastable:
-        spread = pairs.repartition(tasks, *pairs.columns)
-        return spread.join(F.broadcast(_with_masks(leaders.df)), block), work
-
-    parts = sizes.select(block, F.ceil(
-        F.col("_names") * F.col("_leaders") / F.lit(PAIRS_PER_TASK)
-    ).cast("int").alias("_parts"))
-    parts = store(parts)
-    cut = attach(pairs, parts, [block], "inner").withColumn(
-        "_part", F.pmod(F.xxhash64(*pairs.columns), F.col("_parts")).cast("int")
+        spread = names.repartition(tasks, *names.columns)
+        return spread.join(F.broadcast(_with_masks(leaders.df)), block)
+
+    parts = store(names.groupBy(block).agg(
+        F.ceil(F.count("*") * F.lit(per_name) / F.lit(PAIRS_PER_TASK)).cast("int").alias("_parts")
+    ))
+    cut = attach(names, parts, [block], "inner").withColumn(
+        "_part", F.pmod(F.xxhash64(*names.columns), F.col("_parts")).cast("int")
     ).drop("_parts")
     copies = attach(_with_masks(leaders.df), parts, [block], "inner").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     ).drop("_parts")
-    return cut.repartition(tasks, block, "_part").join(copies, [block, "_part"]).drop("_part"), work
+    return cut.repartition(tasks, block, "_part").join(copies, [block, "_part"]).drop("_part")
 
 
 def _scored(met: DataFrame, name: str, threshold: int) -> DataFrame:
@@ -82,18 +72,24 @@ def _scored(met: DataFrame, name: str, threshold: int) -> DataFrame:
 
 
 def similar_pairs(
-    df: DataFrame, block: str, name: str, threshold: int = 60, min_count: int = 2,
+    df: DataFrame | Sized, block: str, name: str, threshold: int = 60, min_count: int = 2,
     weight: str | None = None,
 ) -> DataFrame:
     """All (block, leader, top_n, name, score) above the threshold."""
-    pairs = store(group_size(df, [block, name], "n", weight))
-    leaders = store(block_leaders(pairs, block, name, "n", min_count))
-    met, _ = _meet(pairs.df.select(block, name), leaders, block)
+    pairs = counted(df, [block, name], "n", weight)
+    leaders = store(block_leaders(pairs, block, name, "n", min_count).df)
+    names = pairs.df.select(block, name)
+    work = (
+        names.groupBy(block).agg(F.count("*").alias("_names"))
+        .join(leaders.df.groupBy(block).agg(F.count("*").alias("_leaders")), block)
+        .agg(F.sum(F.col("_names") * F.col("_leaders")), F.max("_leaders")).first()
+    )
+    met = _meet(names, leaders, block, work[0] or 0, work[1] or 1)
     return _scored(met, name, threshold).select(block, "leader", "top_n", name, "score")
 
 
 def rename_map(
-    df: DataFrame, block: str, name: str, threshold: int = 60, min_count: int = 2,
+    df: DataFrame | Sized, block: str, name: str, threshold: int = 60, min_count: int = 2,
     weight: str | None = None, scope: str = "global",
 ) -> DataFrame:
     """Which name is replaced by which leader: columns `source`, `target`.
@@ -107,32 +103,30 @@ def rename_map(
     """
     if scope not in ("global", "block"):
         raise ValueError(f"unknown scope {scope!r}")
-    pairs = store(group_size(df, [block, name], "n", weight))
+    pairs = counted(df, [block, name], "n", weight)
     leaders = store(rank_rows(
-        block_leaders(pairs, block, name, "n", min_count),
-        [F.desc("leader")], "_rank", [block],
-    ))
-    deepest = leaders.df.agg(F.max("_rank")).first()[0] or 0
+        block_leaders(pairs, block, name, "n", min_count), [F.desc("leader")], "_rank", [block],
+    ), deepest=F.max("_rank"))
+    deepest = leaders.stats["deepest"] or 0
 
-    open_names = pairs.df.select(block, name)
+    names = pairs.replace(pairs.df.select(block, name))
     settled, low, size = [], 0, FIRST_ROUND
     while True:
-        chunk = leaders.df.where((F.col("_rank") > low) & (F.col("_rank") <= low + size))
-        chunk = chunk.drop("_rank")
-        last = low + size >= deepest
-        met, _ = _meet(open_names, leaders if not low and last else store(chunk), block)
+        in_round = (F.col("_rank") > low) & (F.col("_rank") <= low + size)
+        chunk = leaders.reduced(leaders.df.where(in_round).drop("_rank"))
+        met = _meet(names.df, chunk, block, names.rows * min(size, deepest), size)
         best = _scored(met, name, threshold).groupBy(block, name).agg(
             F.max("leader").alias("target")
         )
-        if last:
+        if low + size >= deepest:
             settled.append(best)
             break
         best = store(best)
         settled.append(best.df)
         low, size = low + size, size * 4
-        deeper = leaders.df.where(F.col("_rank") > low).select(block).distinct()
-        unsettled = open_names.join(best.df, [block, name], "left_anti")
-        open_names = store(attach(unsettled, deeper, [block], "inner")).df
+        deeper = leaders.reduced(leaders.df.where(F.col("_rank") > low).select(block).distinct())
+        unsettled = names.df.join(best.df, [block, name], "left_anti")
+        names = store(attach(unsettled, deeper, [block], "inner"))
 
     found = reduce(lambda a, b: a.unionByName(b), settled)
     if scope == "block":

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyframe.materialize import Stored, store
+from tallyframe.materialize import Sized, store
 from tallyframe.session import limit
 
 
 def running_sum(
-    table: DataFrame | Stored, value: str | Column, order_by: Sequence[Column],
+    table: DataFrame | Sized, value: str | Column, order_by: Sequence[Column],
     out: str, partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Inclusive running total of `value` in `order_by` order, per `partition_by`.
@@ -54,7 +54,7 @@ def running_sum(
 
 
 def rank_rows(
-    table: DataFrame | Stored, order_by: Sequence[Column], out: str,
+    table: DataFrame | Sized, order_by: Sequence[Column], out: str,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Row number from 1 in `order_by` order, per `partition_by`."""

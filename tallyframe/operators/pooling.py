@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.text import COMPONENT_RULES, Rule, apply_rules, normalize
-from tallyframe.operators.frequency import group_size, pareto_table
+from tallyframe.materialize import Sized
+from tallyframe.operators.frequency import counted, pareto_table
 from tallyframe.operators.lookup import flag_members
 
 
@@ -19,21 +20,25 @@ def canonical_names(
 
 
 def frequent_values(
-    df: DataFrame, column: str, min_rows: int, weight: str | None = None
-) -> DataFrame:
+    df: DataFrame | Sized, column: str, min_rows: int, weight: str | None = None
+) -> Sized:
     """Values that occur in at least `min_rows` rows."""
-    return group_size(df, [column], "n", weight).where(F.col("n") >= min_rows).select(column)
+    sizes = counted(df, [column], "n", weight)
+    return sizes.replace(sizes.df.where(F.col("n") >= min_rows).select(column))
 
 
 def head_values(
-    df: DataFrame, column: str, share: float, weight: str | None = None
-) -> DataFrame:
+    df: DataFrame | Sized, column: str, share: float, weight: str | None = None
+) -> Sized:
     """Values whose running share, own rows included, stays within `share`."""
-    table = pareto_table(df, column, weight)
-    return table.where(F.col("perce") <= F.lit(float(share))).select(column)
+    sizes = counted(df, [column], "counts", weight)
+    table = pareto_table(sizes, column, "counts")
+    return sizes.reduced(table.where(F.col("perce") <= F.lit(float(share))).select(column))
 
 
-def pool_others(df: DataFrame, keep, column: str, other: str) -> DataFrame:
+def pool_others(
+    df: DataFrame, keep: DataFrame | Sized, column: str, other: str
+) -> DataFrame:
     """Replace values (and nulls) that are not in `keep` by `other`."""
     order = df.columns
     flagged = flag_members(df, keep, column, "_keep")

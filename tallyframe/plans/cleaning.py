@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.text import COMPONENT_RULES, Rule
-from tallyframe.materialize import Stored, store
+from tallyframe.materialize import Sized, store
 from tallyframe.operators.lookup import map_or_self
 from tallyframe.operators.namemerge import rename_map
 from tallyframe.operators.pooling import (
@@ -33,9 +33,9 @@ FINAL_COLUMNS = [
 class CleaningRules:
     """What a cleaning run learned from its table; applies to any other table."""
 
-    components: Stored
-    assignees: Stored
-    products: Stored
+    components: Sized
+    assignees: Sized
+    products: Sized
     rules: tuple[Rule, ...]
     rare_name: str
     tail_name: str
@@ -57,19 +57,23 @@ def learn(
 ) -> CleaningRules:
     """Learn all cleaning tables from one scan of the rows.
 
-    The three steps depend on the three name columns only, so the rows are
-    reduced to counted name triples once and every step works on those.
+    The steps depend on the counts of components and of (product, assignee)
+    pairs only. Grouping sets count both in one pass and combine before the
+    shuffle; every step then works on the counts.
     """
     names = ["component_name", "product_name", "assignee_name"]
-    triples = store(
+    counts = store(
         canonical_names(df.select(*names), "component_name", rules)
-        .groupBy(*names).agg(F.count("*").alias("_n"))
-    ).df
+        .groupingSets([["component_name"], ["product_name", "assignee_name"]], *names)
+        .agg(F.count("*").alias("_n"), F.grouping("component_name").alias("_pair"))
+    )
+    components = counts.replace(counts.df.where("_pair = 0"))
+    pairs = counts.replace(counts.df.where("_pair = 1"))
     return CleaningRules(
-        components=store(frequent_values(triples, "component_name", min_rows, "_n")),
-        assignees=store(rename_map(
-            triples, "product_name", "assignee_name", threshold, min_count, "_n")),
-        products=store(head_values(triples, "product_name", share, "_n")),
+        components=frequent_values(components, "component_name", min_rows, "_n"),
+        assignees=pairs.reduced(rename_map(
+            pairs, "product_name", "assignee_name", threshold, min_count, "_n")),
+        products=head_values(pairs, "product_name", share, "_n"),
         rules=tuple(rules), rare_name=rare_name, tail_name=tail_name,
     )
 
