@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 from checks.registry import ISSUES, component_case, query, score_sql
 from tallyframe.functions.similarity import match_masks, score
 from tallyframe.functions.text import apply_rules, normalize, COMPONENT_RULES
-from tallyframe.materialize import store
 from tallyframe.operators import frequency, namemerge, pooling, projection
 from tallyframe.operators.lookup import flag_members, last_wins, map_or_self
 from tallyframe.plans import cleaning
 from tallyframe.plans.issues import issues, table
 
-CLEAN_TEN = ["row_key", *cleaning.FINAL_COLUMNS]
-
-
 @query("select_tolerant", f"""
 WITH {ISSUES}
 SELECT component_name, product_name, resolution_code, status_code, quantity_of_votes,
@@ -250,7 +246,7 @@ def in_set_flag(spark, sf_dir):
     return flag_members(rows, large, "l_partkey", "large")
 
 
-_CLEAN_SQL = f"""{_FUZZY_SQL},
+CLEAN_SQL = f"""{_FUZZY_SQL},
 component AS (SELECT *, {component_case("lower(component_name)")} AS c FROM issues),
 pooled AS (SELECT *, CASE WHEN count(c) OVER (PARTITION BY c) >= 3 THEN c ELSE 'other' END AS pooled_name
            FROM component),
@@ -264,13 +260,13 @@ SELECT row_key, pooled_name AS component_name,
 FROM pooled LEFT JOIN mapping ON assignee_name = source)"""
 
 
-@query("clean_job", f"WITH {_CLEAN_SQL} SELECT * FROM clean")
+@query("clean_job", f"WITH {CLEAN_SQL} SELECT * FROM clean")
 def clean_job(spark, sf_dir):
     return cleaning.clean(issues(spark, sf_dir), keep=["row_key"])
 
 
 @query("clean_summary", f"""
-WITH {_CLEAN_SQL} SELECT product_name, component_name, count(*) AS n FROM clean GROUP BY ALL""")
+WITH {CLEAN_SQL} SELECT product_name, component_name, count(*) AS n FROM clean GROUP BY ALL""")
 def clean_summary(spark, sf_dir):
     """Flagship: the cleaned table, counted by product and component."""
     cleaned = cleaning.clean(issues(spark, sf_dir))

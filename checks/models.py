@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from checks.cleaning import CLEAN_SQL
 from checks.registry import ISSUES, query
-from tallyframe.operators import neighbors, oversampling, sampling
-from tallyframe.plans.issues import issues, table
+from tallyframe.materialize import store
+from tallyframe.operators import (
+    components, encoding, groupfeatures, metrics, neighbors, oversampling, sampling,
+    training as trees,
+)
+from tallyframe.plans import cleaning, features, scoring, training
+from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
+from tallyframe.streaming.scoring import run_available
 
 _QUOTAS = """
 sizes AS (SELECT product_name, count(*) AS n FROM issues GROUP BY 1),
@@ -81,3 +90,283 @@ WITH {ISSUES} SELECT product_name AS label, count(*) AS n, max(count(*)) OVER ()
 FROM issues GROUP BY product_name""")
 def class_growth(spark, sf_dir):
     return oversampling.growth(issues(spark, sf_dir), "product_name").df
+
+
+@query("one_hot_long", f"""
+WITH {ISSUES}
+SELECT row_key, 'component_name_' || component_name AS feature, 1 AS value FROM issues
+UNION ALL SELECT row_key, 'assignee_name_' || assignee_name, 1 FROM issues""")
+def one_hot_long(spark, sf_dir):
+    return encoding.one_hot_long(issues(spark, sf_dir), ["row_key"], ["component_name", "assignee_name"])
+
+
+@query("one_hot_unseen", f"""
+WITH {ISSUES}, known AS (
+  SELECT component_name, CAST(row_number() OVER (ORDER BY component_name) - 1 AS BIGINT) AS slot
+  FROM (SELECT DISTINCT component_name FROM issues WHERE component_name NOT LIKE 'red%'))
+SELECT row_key, component_name, slot, slot IS NOT NULL AS seen
+FROM issues LEFT JOIN known USING (component_name)""")
+def one_hot_unseen(spark, sf_dir):
+    rows = issues(spark, sf_dir).select("row_key", "component_name")
+    model = encoding.fit_one_hot(rows.where("component_name NOT LIKE 'red%'"), ["component_name"])
+    code = vector_to_array("component_name_code")
+    slot = F.nullif(F.array_position(code, F.lit(1.0)), F.lit(0)) - 1
+    return model.transform(rows).select("row_key", "component_name", slot.cast("bigint").alias("slot"),
+                                        (F.aggregate(code, F.lit(0.0), lambda a, v: a + v) == 1).alias("seen"))
+
+
+@query("one_hot_names", f"""
+WITH {ISSUES}
+SELECT DISTINCT 'component_name_' || component_name AS name FROM issues
+UNION SELECT DISTINCT 'product_name_' || product_name FROM issues""")
+def one_hot_names(spark, sf_dir):
+    model = encoding.fit_one_hot(issues(spark, sf_dir), ["component_name", "product_name"])
+    return spark.createDataFrame([(n,) for n in encoding.one_hot_names(model)], "name string")
+
+
+@query("column_variance", f"WITH {ISSUES} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", round(var_pop({c}), 6) AS variance FROM issues" for c in FEATURE_INTS))
+def column_variance(spark, sf_dir):
+    variances = encoding.column_variances(issues(spark, sf_dir), FEATURE_INTS)
+    return variances.withColumn("variance", F.round("variance", 6))
+
+
+_THRESHOLD = 0.0099
+_PASSED = f"""{ISSUES},
+numbers AS ({' UNION ALL '.join(f"SELECT '{c}' AS name, var_pop({c}) AS v FROM issues" for c in FEATURE_INTS)}),
+codes AS (SELECT 'assignee_name_' || a.assignee_name AS name,
+                 (count(*) / (SELECT count(*)::DOUBLE FROM issues))
+                 * (1 - count(*) / (SELECT count(*)::DOUBLE FROM issues)) AS v FROM issues a GROUP BY 1),
+passed AS (SELECT name FROM numbers WHERE v > {_THRESHOLD}::DOUBLE
+           UNION ALL SELECT name FROM codes WHERE v > {_THRESHOLD}::DOUBLE)"""
+
+
+@query("variance_filter", f"WITH {_PASSED} SELECT name FROM passed")
+def variance_filter(spark, sf_dir):
+    rows = issues(spark, sf_dir).select(*FEATURE_INTS, "assignee_name")
+    model = encoding.fit_one_hot(rows, ["assignee_name"])
+    vectors = VectorAssembler(inputCols=[*FEATURE_INTS, "assignee_name_code"], outputCol="features")
+    coded = vectors.transform(model.transform(rows)).select("features")
+    kept = encoding.fit_variance_filter(coded, "features", _THRESHOLD).selectedFeatures
+    names = FEATURE_INTS + encoding.one_hot_names(model)
+    return spark.createDataFrame([(names[i],) for i in kept], "name string")
+
+
+@query("feature_code", f"WITH {_PASSED} SELECT name FROM passed")
+def feature_code(spark, sf_dir):
+    code = encoding.fit_features(issues(spark, sf_dir), FEATURE_INTS, ["assignee_name"], _THRESHOLD)
+    return spark.createDataFrame([(n,) for n in code.names], "name string")
+
+
+@query("category_variance", f"""
+WITH {ISSUES}, t AS (SELECT count(*)::DOUBLE AS total FROM issues),
+c AS (SELECT 'component_name' AS "column", component_name AS "value", count(*) AS n FROM issues GROUP BY 2)
+SELECT "column", "value", n, round(n / total * (1 - n / total), 9) AS variance FROM c, t""")
+def category_variance(spark, sf_dir):
+    found = encoding.category_variances(issues(spark, sf_dir), ["component_name"])
+    return found.withColumn("variance", F.round("variance", 9))
+
+
+_INDEXED = f"""{ISSUES}, classes AS (
+  SELECT product_name, CAST(row_number() OVER (ORDER BY product_name) - 1 AS DOUBLE) AS label
+  FROM (SELECT DISTINCT product_name FROM issues))"""
+
+
+@query("label_index", f"""
+WITH {_INDEXED} SELECT row_key, product_name, label FROM issues JOIN classes USING (product_name)""")
+def label_index(spark, sf_dir):
+    rows = issues(spark, sf_dir).select("row_key", "product_name")
+    return encoding.fit_labels(rows, "product_name").transform(rows)
+
+
+@query("label_decode", f"""
+WITH {_INDEXED} SELECT row_key, c.product_name AS decoded
+FROM issues JOIN classes c ON c.label = (resolution_code + status_code) % (SELECT count(*) FROM classes)""")
+def label_decode(spark, sf_dir):
+    rows = issues(spark, sf_dir)
+    model = encoding.fit_labels(rows, "product_name")
+    index = (F.col("resolution_code") + F.col("status_code")) % len(model.labelsArray[0])
+    return encoding.label_decoder(model).transform(
+        rows.select("row_key", index.cast("double").alias("prediction"))).drop("prediction")
+
+
+_PREDICTED = f"""{ISSUES}, predicted AS (
+  SELECT product_name AS label, CASE WHEN (bug_fix_time + resolution_code) % 3 = 0 THEN component_name
+         ELSE product_name END AS prediction FROM issues WHERE status_code <> 4 OR product_name < 'Brand#2')"""
+
+
+def _predicted(spark, sf_dir):
+    rows = issues(spark, sf_dir).where("status_code <> 4 OR product_name < 'Brand#2'")
+    wrong = (F.col("bug_fix_time") + F.col("resolution_code")) % 3 == 0
+    return rows.select(F.col("product_name").alias("label"),
+                       F.when(wrong, F.col("component_name")).otherwise(F.col("product_name")).alias("prediction"))
+
+
+@query("confusion", f"WITH {_PREDICTED} SELECT label, prediction, count(*) AS n FROM predicted GROUP BY ALL")
+def confusion(spark, sf_dir):
+    return metrics.confusion(_predicted(spark, sf_dir), "label", "prediction")
+
+
+@query("micro_f1", f"""
+WITH {_PREDICTED}, classes AS (SELECT DISTINCT unnest([label, prediction]) AS c FROM predicted),
+tally AS (SELECT c, count_if(label = c AND prediction = c) AS tp, count_if(label <> c AND prediction = c) AS fp,
+                 count_if(label = c AND prediction <> c) AS fn FROM predicted, classes GROUP BY c)
+SELECT round(sum(tp) / (sum(tp) + 0.5::DOUBLE * (sum(fp) + sum(fn))), 9) AS f1 FROM tally""")
+def micro_f1(spark, sf_dir):
+    return metrics.micro_f1(_predicted(spark, sf_dir), "label", "prediction").select(F.round("f1", 9).alias("f1"))
+
+
+@query("balanced_accuracy", f"""
+WITH {_PREDICTED}, recalls AS (SELECT avg((label = prediction)::INTEGER) AS recall FROM predicted GROUP BY label)
+SELECT round(avg(recall), 9) AS balanced_accuracy FROM recalls""")
+def balanced_accuracy(spark, sf_dir):
+    score = metrics.balanced_accuracy(_predicted(spark, sf_dir), "label", "prediction")
+    return score.select(F.round("balanced_accuracy", 9).alias("balanced_accuracy"))
+
+
+@query("covariance", f"WITH {ISSUES} " + " UNION ALL ".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(covar_samp({a}, {b}), 5) AS covariance FROM issues"
+    for i, a in enumerate(FEATURE_INTS) for b in FEATURE_INTS[i:]))
+def covariance(spark, sf_dir):
+    found = components.covariances(issues(spark, sf_dir), FEATURE_INTS)
+    return found.withColumn("covariance", F.round("covariance", 5))
+
+
+def _vectors(spark, sf_dir):
+    return VectorAssembler(inputCols=FEATURE_INTS, outputCol="features").transform(issues(spark, sf_dir))
+
+
+@query("pca_project")
+def pca_project(spark, sf_dir):
+    rows = _vectors(spark, sf_dir).select("row_key", "features")
+    model = components.fit_components(rows, "features", 3)
+    return components.component_columns(model.transform(rows), ["row_key"], k=3)
+
+
+@query("pca_invariants", f"""
+WITH {ISSUES} SELECT round({' + '.join(f'var_samp({c})' for c in FEATURE_INTS)}, 4) AS variance,
+       0.0::DOUBLE AS mean, 0.0::DOUBLE AS covariance FROM issues""")
+def pca_invariants(spark, sf_dir):
+    """All components together keep the variance, have mean 0 and do not correlate."""
+    rows = _vectors(spark, sf_dir).select("features")
+    k = len(FEATURE_INTS)
+    projected = components.component_columns(components.fit_components(rows, "features", k).transform(rows), [], k=k)
+    names = projected.columns
+    return projected.agg(
+        F.round(sum(F.var_samp(c) for c in names), 4).alias("variance"),
+        F.abs(F.round(F.greatest(*[F.avg(c) for c in names]), 4)).alias("mean"),
+        F.abs(F.round(F.greatest(*[F.covar_samp(a, b) for a in names for b in names if a < b]), 4)).alias("covariance"))
+
+
+@query("model_input")
+def model_input(spark, sf_dir):
+    return features.features(cleaning.clean(issues(spark, sf_dir), keep=["row_key"]), "row_key").table
+
+
+@query("model_input_sizes", f"""
+WITH {CLEAN_SQL}, sizes AS (SELECT product_name, count(*) AS n FROM clean GROUP BY 1)
+SELECT product_name, max(n) OVER () AS n FROM sizes""")
+def model_input_sizes(spark, sf_dir):
+    return model_input(spark, sf_dir).groupBy("product_name").agg(F.count("*").alias("n"))
+
+
+@query("feature_lookup_clean", f"""
+WITH {CLEAN_SQL}, f AS (SELECT component_name, product_name, assignee_name,
+  count(*) OVER (PARTITION BY product_name, component_name) AS n_components,
+  count(*) OVER (PARTITION BY product_name, assignee_name) AS n_assignees,
+  count(*) OVER (PARTITION BY product_name) AS n_product_rows FROM clean),
+u AS (SELECT product_name, count(DISTINCT component_name) AS n_un_components FROM clean GROUP BY 1)
+SELECT DISTINCT component_name, product_name, assignee_name, n_components, n_assignees, n_un_components, n_product_rows
+FROM f JOIN u USING (product_name)""")
+def feature_lookup_clean(spark, sf_dir):
+    return groupfeatures.feature_lookup(cleaning.clean(issues(spark, sf_dir)))
+
+
+_SMALL = {"max_depth": 5, "gamma": 1.0, "colsample_bytree": 0.8, "min_child_weight": 2}
+
+
+def _feature_table(spark, sf_dir):
+    cleaned = cleaning.clean(issues(spark, sf_dir), keep=["row_key"])
+    return features.features(cleaned, "row_key", resample=False)
+
+
+@query("train_predict")
+def train_predict(spark, sf_dir):
+    trained = training.train(_feature_table(spark, sf_dir).table, trials=[_SMALL], n_estimators=10)
+    return trained.predictions.select("row_key", "product_name", "is_test", "prediction", "predicted_name")
+
+
+@query("train_boosted")
+def train_boosted(spark, sf_dir):
+    """Quality labels from document columns: two classes, boosted with early stopping."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    words = F.size(F.split("text", r"\s+")).cast("double")
+    rows = docs.select("doc_id", F.col("quality").cast("double").alias("label"), F.array(
+        F.col("n_chars").cast("double"), words, F.col("n_chars") / words).alias("x"))
+    rows = rows.withColumn("features", array_to_vector("x"))
+    split = store(sampling.stratified_split(rows.drop("features"), "label", ["doc_id"])).df
+    split = split.withColumn("features", array_to_vector("x"))
+    model = trees.fit_boosted(split, 2, n_estimators=8, params={"max_depth": 3}, validation="is_test")
+    return model.transform(split).select("doc_id", "label", "is_test", "prediction")
+
+
+@query("hyper_search")
+def hyper_search(spark, sf_dir):
+    trials = trees.draw_trials({**trees.SEARCH_SPACE, "max_depth": trees.Range(3, 6, 1)}, trials=3)
+    trained = training.train(_feature_table(spark, sf_dir).table, trials=trials, n_estimators=4)
+    return trained.trials
+
+
+@query("train_metrics")
+def train_metrics(spark, sf_dir):
+    return training.train(_feature_table(spark, sf_dir).table, trials=[_SMALL], n_estimators=4).metrics
+
+
+def _scorer(spark, sf_dir):
+    made = _feature_table(spark, sf_dir)
+    trained = training.train(made.table, trials=[_SMALL], n_estimators=10)
+    return scoring.build_scorer(made, trained)
+
+
+@query("score_batch")
+def score_batch(spark, sf_dir):
+    return _scorer(spark, sf_dir).score(issues(spark, sf_dir), "row_key")
+
+
+def _stream(spark, sf_dir):
+    lines = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).option(
+        "pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    return as_issues(lines, table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))
+
+
+@query("score_stream")
+def score_stream(spark, sf_dir):
+    scorer = _scorer(spark, sf_dir)
+    return run_available(_stream(spark, sf_dir), lambda rows: scorer.score(rows, "row_key"))
+
+
+_MEANS_SQL = """
+, f AS (SELECT component_name, assignee_name,
+  count(*) OVER (PARTITION BY product_name, component_name) AS n_components,
+  count(*) OVER (PARTITION BY product_name, assignee_name) AS n_assignees,
+  count(*) OVER (PARTITION BY product_name) AS n_product_rows, product_name FROM issues),
+u AS (SELECT product_name, count(DISTINCT component_name) AS n_un_components FROM issues GROUP BY 1),
+d AS (SELECT DISTINCT component_name, assignee_name, n_components, n_assignees, n_un_components, n_product_rows
+      FROM f JOIN u USING (product_name)),
+means AS (SELECT component_name, assignee_name, avg(n_components) AS a, avg(n_assignees) AS b,
+                 avg(n_un_components) AS c, avg(n_product_rows) AS e FROM d GROUP BY ALL)"""
+
+
+@query("stream_lookup", f"""
+WITH {ISSUES} {_MEANS_SQL}
+SELECT row_key, round(coalesce(a, 0), 4) AS n_components, round(coalesce(b, 0), 4) AS n_assignees,
+       round(coalesce(c, 0), 4) AS n_un_components, round(coalesce(e, 0), 4) AS n_product_rows,
+       a IS NOT NULL AS lookup_hit
+FROM issues LEFT JOIN means USING (component_name, assignee_name)""")
+def stream_lookup(spark, sf_dir):
+    """Records arrive as a stream and meet the saved mean counts."""
+    means = store(groupfeatures.lookup_means(groupfeatures.feature_lookup(issues(spark, sf_dir))))
+    scored = run_available(_stream(spark, sf_dir), lambda rows: groupfeatures.score_lookup(
+        rows.select("row_key", "component_name", "assignee_name"), means), "lookup")
+    measures = {m: F.round(m, 4) for m in groupfeatures.MEASURES}
+    return scored.drop("component_name", "assignee_name").withColumns(measures)

@@ -24,7 +24,8 @@ def attach(df: DataFrame, lookup: DataFrame | Sized, keys: Sequence[str], how: s
     A lookup whose measured size is under the broadcast bound is broadcast and
     the rows stay where they are. A larger one is joined by shuffle for all keys
     but the hot ones, which meet a broadcast of at most HOT_SHARE lookup rows.
-    Rows with a null key never match and are not shuffled.
+    Rows with a null key never match and are not shuffled. A stream cannot be
+    counted ahead, so it takes a plain join when the lookup is too large.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -32,6 +33,8 @@ def attach(df: DataFrame, lookup: DataFrame | Sized, keys: Sequence[str], how: s
     lookup = store(lookup)
     if lookup.broadcastable:
         return df.join(F.broadcast(lookup.df), keys, how)
+    if df.isStreaming:
+        return df.join(lookup.df, keys, how)
     return _attach_split(df, lookup.df, keys, how)
 
 
