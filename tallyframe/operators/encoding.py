@@ -57,10 +57,12 @@ def one_hot_long(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> D
     return df.select(*key, F.explode(F.array_compact(cells)).alias("feature")).withColumn("value", F.lit(1))
 
 
-def _one_hot_stages(indexer: StringIndexerModel, df: DataFrame, columns: list[str], out: list[str]):
-    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=out, dropLast=True)
-    # Category counts come from the indexer's metadata; no rows are read.
-    return encoder.fit(indexer.transform(df.limit(0)))
+def _fit_codes(indexers: list, df: DataFrame, columns: list[str]):
+    """Fit the encoder from the indexers' metadata; no rows are read."""
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_code" for c in columns],
+        dropLast=True)
+    return encoder.fit(PipelineModel(indexers).transform(df.limit(0)))
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> PipelineModel:
@@ -79,7 +81,7 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX
         inputCols=columns, outputCols=[f"{c}_index" for c in columns],
         stringOrderType="alphabetAsc", handleInvalid="keep",
     ).fit(df)
-    return PipelineModel([indexer, _one_hot_stages(indexer, df, columns, [f"{c}_code" for c in columns])])
+    return PipelineModel([indexer, _fit_codes([indexer], df, columns)])
 
 
 def one_hot_names(model: PipelineModel) -> list[str]:
@@ -142,9 +144,11 @@ def fit_features(
     columns = list(kept)
     stages, codes = [], [f"{c}_code" for c in columns]
     if columns:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [kept[c] for c in columns], inputCols=columns,
-            outputCols=[f"{c}_index" for c in columns], handleInvalid="keep")
-        stages += [indexer, _one_hot_stages(indexer, df, columns, codes)]
+        indexers = [
+            StringIndexerModel.from_labels(
+                kept[c], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
+            for c in columns
+        ]
+        stages += [*indexers, _fit_codes(indexers, df, columns)]
     stages.append(VectorAssembler(inputCols=kept_numbers + codes, outputCol=out))
     return FeatureCode(kept_numbers, kept, PipelineModel(stages))

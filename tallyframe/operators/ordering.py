@@ -49,7 +49,7 @@ def running_sum(
     return (
         sliced.join(offsets, [*by, "_slice"])
         .withColumn(out, F.col("_offset") + F.sum("_value").over(inside))
-        .drop("_slice", "_offset", "_value")
+        .select(*table.df.columns, out)
     )
 
 
