@@ -61,12 +61,16 @@ def _meet(names: DataFrame, leaders: Sized, block: str, work: int, per_name: int
 
 
 def _scored(met: DataFrame, name: str, threshold: int) -> DataFrame:
-    """Pairs above `threshold` that are not (or do not round to) a full match."""
+    """Pairs above `threshold` that are not (or do not round to) a full match.
+
+    The scores are integers, so one membership test states both conditions and
+    the similarity is computed once per comparison.
+    """
     a, b = F.col(name), F.col("leader")
     return (
         met.where(can_exceed(a, b, threshold))
         .withColumn("score", score(a, b, F.col("_masks")))
-        .where((F.col("score") > threshold) & (F.col("score") != 100))
+        .where(F.col("score").isin(list(range(threshold + 1, 100))))
         .drop("_masks")
     )
 

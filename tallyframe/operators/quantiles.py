@@ -40,7 +40,12 @@ def quantile_columns(
     """
     cells = df.count() * max(1, len(columns))
     if cells <= limit(df.sparkSession, "percentileCells"):
-        return {c: [F.percentile(as_number(c), F.lit(p)) for p in probabilities] for c in columns}
+        # One aggregate per column; its results are picked by position.
+        shares = F.array(*[F.lit(float(p)) for p in probabilities])
+        return {
+            c: [F.percentile(as_number(c), shares)[i] for i in range(len(probabilities))]
+            for c in columns
+        }
     found = _narrow(df, list(columns), list(probabilities))
     return {c: [F.lit(v).cast("double") for v in found[c]] for c in columns}
 

@@ -71,7 +71,8 @@ def learn(
     pairs = counts.replace(counts.df.where("_pair = 1"))
     return CleaningRules(
         components=frequent_values(components, "component_name", min_rows, "_n"),
-        assignees=pairs.reduced(rename_map(
+        # Stored, since every use of the cleaned rows would compare the names again.
+        assignees=store(rename_map(
             pairs, "product_name", "assignee_name", threshold, min_count, "_n")),
         products=head_values(pairs, "product_name", share, "_n"),
         rules=tuple(rules), rare_name=rare_name, tail_name=tail_name,
