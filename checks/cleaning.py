@@ -145,6 +145,14 @@ def pareto_pool_nulls(spark, sf_dir):
     return pooling.pool_tail(named, "name", 0.95, "name_other")
 
 
+@query("grand_total", f"""
+WITH {ISSUES}, c AS (SELECT product_name, count(*) AS counts FROM issues GROUP BY 1)
+SELECT CAST(sum(counts) AS BIGINT) AS total FROM c""")
+def grand_total(spark, sf_dir):
+    sizes = frequency.group_size(issues(spark, sf_dir), ["product_name"], "counts")
+    return frequency.grand_total(sizes, "counts")
+
+
 @query("pair_counts", f"""
 WITH {ISSUES}
 SELECT product_name, assignee_name, count(*) AS n FROM issues GROUP BY ALL""")

@@ -335,7 +335,7 @@ def score_batch(spark, sf_dir):
 
 def _stream(spark, sf_dir):
     lines = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).option(
-        "pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+        "pathGlobFilter", "lineitem.parquet").option("maxFilesPerTrigger", 1000).parquet(sf_dir)
     return as_issues(lines, table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))
 
 

@@ -75,7 +75,7 @@ _PROBS = {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 def _profile_number(c: str, kind: str) -> str:
     return f"""
 SELECT '{c}' AS "column", '{kind}' AS type, count({c}) AS count, count(*) - count({c}) AS missing,
-       count_if({c} = 0) AS zeros, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+       CAST(count_if({c} = 0) AS BIGINT) AS zeros, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
        round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
        round(skewness({c}), 4) AS skewness, round(kurtosis({c}), 4) AS kurtosis,
        {', '.join(f'round(quantile_cont({c}, {p}), 4) AS {n}' for n, p in _PROBS.items())},

@@ -71,6 +71,8 @@ def test_metrics(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("b", "c"), ("b", "b"), ("d", None)], "y string, p string")
     assert metrics.micro_f1(df, "y", "p").first()[0] == 0.5
     assert metrics.balanced_accuracy(df, "y", "p").first()[0] == pytest.approx((0.5 + 2 / 3 + 0) / 3)
+    counted = df.groupBy("y", "p").agg(F.count("*").alias("k"))
+    assert metrics.micro_f1(counted, "y", "p", "k").first()[0] == 0.5
 
 
 def test_search_space_is_seeded_and_in_range():

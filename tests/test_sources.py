@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import scratch_path, shared_folder
 from tallyframe.sources import records, tables
+from tallyframe.streaming.scoring import run_available, stream_records
 
 
 def test_csv_quirks(spark, tmp_path):
@@ -45,6 +46,22 @@ def test_records(spark, tmp_path):
         records.parse_records(bad).collect()
 
 
+def test_streamed_records_equal_batch(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.json").write_text(json.dumps({"component_name": f"c{i}", "status_code": str(i)}))
+    stream = stream_records(spark, str(tmp_path), max_files=1)
+    streamed = run_available(stream, lambda rows: rows, "records")
+    batch = records.read_records(spark, str(tmp_path))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_narrow_scans_are_spread(spark, reports):
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.spread(reports.coalesce(1)).rdd.getNumPartitions() == cores
+    wide = reports.repartition(cores + 3)
+    assert tables.spread(wide) is wide
+
+
 def test_scratch_paths_are_fresh_and_shared(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_folder(spark).rstrip("/"))
