@@ -287,7 +287,7 @@ _SMALL = {"max_depth": 5, "gamma": 1.0, "colsample_bytree": 0.8, "min_child_weig
 
 def _feature_table(spark, sf_dir):
     cleaned = cleaning.clean(issues(spark, sf_dir), keep=["row_key"])
-    return features.features(cleaned, "row_key", resample=False)
+    return features.features(cleaned, "row_key", resample="none")
 
 
 @query("train_predict")

@@ -16,7 +16,7 @@ from tallyframe.operators.groupfeatures import (
     MEASURES, feature_lookup, learn_group_counts, lookup_means,
 )
 from tallyframe.operators.oversampling import oversample
-from tallyframe.operators.sampling import replicate
+from tallyframe.operators.sampling import replicate, stratified_split
 from tallyframe.plans.cleaning import clean
 from tallyframe.sources.models import save_model
 from tallyframe.sources.tables import write_table
@@ -59,13 +59,17 @@ def features(
     cleaned: DataFrame, key: str | None = None, label: str = LABEL,
     numbers: Sequence[str] = NUMBERS, categories: Sequence[str] = CATEGORIES,
     variance_threshold: float = VARIANCE_THRESHOLD, k: int = COMPONENTS,
-    resample: bool = True, seed: int = 0, small_classes: str = "error",
+    resample: str = "before_split", seed: int = 0, small_classes: str = "error",
 ) -> Features:
     """Build the feature table from a cleaned table.
 
-    With `resample` classes are grown to equal size before the components are
-    fitted. The table has `pca0`.., the label, the row key and `replica`.
+    The table has `pca0`.., the label, the row key and `replica`. Classes are
+    grown to equal size before the components are fitted: all rows with
+    `resample="before_split"`, only the training rows of an exact split, which
+    the table then carries as `is_test`, with "train_only", and none with "none".
     """
+    if resample not in ("before_split", "train_only", "none"):
+        raise ValueError(f"unknown resample {resample!r}")
     keyed = cleaned if key else with_row_key(cleaned)
     key = key or "row_key"
     counts = learn_group_counts(keyed)
@@ -75,16 +79,26 @@ def features(
     counted = store(counted.select(key, label, *numbers, *MEASURES, *categories)).df
     code = fit_features(counted, [*numbers, *MEASURES], categories, variance_threshold)
     pruned = code.prune(counted)
-    if resample:
-        rows = oversample(
-            pruned, label, key, code.numeric, list(code.categories),
-            seed=seed, small_classes=small_classes)
+    rows, extra = pruned, []
+    if resample == "train_only":
+        rows, extra = store(stratified_split(pruned, label, [key], seed=seed)).df, ["is_test"]
+    original = F.lit(0).cast("bigint").alias("replica")
+    if resample == "none":
+        rows = rows.select("*", original)
     else:
-        rows = pruned.withColumn("replica", F.lit(0).cast("bigint"))
-    encoded = store(rows).df
-    encoded = code.model.transform(encoded)
-    components = fit_components(encoded, "features", k)
-    table = component_columns(components.transform(encoded), [label, key, "replica"], k=k)
+        learn = rows.where(~F.col("is_test")) if extra else rows
+        grown = oversample(
+            learn, label, key, code.numeric, list(code.categories),
+            seed=seed, small_classes=small_classes)
+        if extra:
+            held_out = rows.where("is_test").select(*grown.drop("replica").columns, original)
+            grown = grown.withColumn("is_test", F.lit(False)).unionByName(
+                held_out.withColumn("is_test", F.lit(True)))
+        rows = grown
+    encoded = code.model.transform(store(rows).df)
+    fitted_on = encoded.where(~F.col("is_test")) if extra else encoded
+    components = fit_components(fitted_on, "features", k)
+    table = component_columns(components.transform(encoded), [label, key, "replica", *extra], k=k)
     return Features(table, lookup, code, components)
 
 

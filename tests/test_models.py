@@ -165,6 +165,21 @@ def test_stream_scores_like_batch(spark, job):
         run_available(raw, lambda rows: rows)
 
 
+def test_growing_the_training_side_only(spark):
+    cleaned = cleaning.clean(issues(spark, SF), keep=["row_key"])
+    made = features.features(cleaned, "row_key", resample="train_only")
+    table = made.table.select("product_name", "replica", "is_test", "pca0").toPandas()
+    assert (table[table.is_test].replica == 0).all()
+    assert table[~table.is_test].groupby("product_name").size().nunique() == 1
+    assert (table.replica == 0).sum() == cleaned.count()
+    assert table[table.is_test].groupby("product_name").size().nunique() > 1
+    assert abs(table[~table.is_test].pca0.mean()) < 1e-6
+    split = training.split_table(made.table, ["row_key"])
+    assert split.where("is_test").count() == table.is_test.sum()
+    with pytest.raises(ValueError, match="unknown resample"):
+        features.features(cleaned, "row_key", resample="later")
+
+
 def test_rows_without_a_key_get_one(spark):
     df = spark.createDataFrame([("a", 1)] * 5 + [("b", 2)], "c string, n int")
     keyed = features.with_row_key(df)
