@@ -59,12 +59,13 @@ def decide(docs: DataFrame) -> DataFrame:
     candidates = flagged.where("maybe").drop("maybe")
     groups = save(
         candidates.groupBy("sha").agg(
-            F.max(F.struct("doc_id", "rid")).alias("top"), F.count("*").alias("group_size")),
+            F.max(F.struct("doc_id", "rid")).alias("top"), F.count("*").alias("group_size"))
+        .select("sha", F.col("top.doc_id").alias("keep_id"), F.col("top.rid").alias("keep_rid"),
+                "group_size"),
         "copy-groups",
     )
     grouped = bring_back(candidates, groups, "sha", "group_size", F.col("rid"), "inner").select(
-        *rows.columns, F.col("top.doc_id").alias("keep_id"), "group_size",
-        (F.col("rid") == F.col("top.rid")).alias("kept"),
+        *rows.columns, "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
     )
     return straight.unionByName(grouped)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import exact_dedup
+from tallyframe.llm import exact_dedup, simhash
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,9 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group(table(spark, sf_dir, "documents"), shingle=3, radius=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
