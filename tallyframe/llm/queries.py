@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import exact_dedup, simhash
+from tallyframe.llm import exact_dedup, simhash, tokens
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+TOKEN_LIMIT = 4096
+
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
@@ -42,3 +45,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(table(spark, sf_dir, "documents"), shingle=3, radius=2).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), model)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
