@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import exact_dedup, simhash, tokens
+from tallyframe.llm import decontaminate, exact_dedup, simhash, tokens
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     counted = tokens.count_tokens(table(spark, sf_dir, "documents"), model)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
