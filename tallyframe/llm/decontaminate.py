@@ -69,10 +69,10 @@ def phrases(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 class Block:
-    """Some phrases as arrays of symbols, and the number of every word in them."""
+    """Phrases, given with their items, as arrays of symbols, and the number of every word in them."""
 
-    def __init__(self, rows):
-        split = [bytes(r.phrase).split(b" ") for r in rows]
+    def __init__(self, rows: list[tuple[bytes, list]]):
+        split = [phrase.split(b" ") for phrase, _ in rows]
         self.symbol: dict[bytes, int] = {}
         for words in split:
             for word in words:
@@ -82,7 +82,7 @@ class Block:
         self.patterns = np.zeros((len(split), self.longest), np.int64)
         for row, words in zip(self.patterns, split, strict=True):
             row[self.longest - len(words):] = [self.symbol[w] for w in words]
-        self.items = [list(r.item_ids) for r in rows]
+        self.items = [items for _, items in rows]
 
 
 class Shard:
@@ -190,7 +190,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
     def searcher(held):
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block = held.value
+            block = Block(held.value)
             for group in _gather(batches):
                 sizes = [b.num_rows for b in group]
                 raw = [t for b in group for t in texts(b)]
@@ -219,9 +219,9 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     for k in range(blocks):
         part = listed if blocks == 1 else listed.where(
             F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k)
-        rows = part.collect()
+        rows = [(bytes(r.phrase), list(r.item_ids)) for r in part.collect()]
         if rows:
-            held = spark.sparkContext.broadcast(Block(rows))
+            held = spark.sparkContext.broadcast(rows)
             result = result.mapInArrow(searcher(held), schema)
     return result
 
