@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import decontaminate, exact_dedup, mixing, simhash, tokens
+from tallyframe.llm import (
+    decontaminate, exact_dedup, language, mixing, quality, simhash, tokens,
+)
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +65,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_mixing", mixing.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
