@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.llm import (
-    decontaminate, exact_dedup, language, mixing, quality, simhash, tokens,
+    decontaminate, exact_dedup, html_extract, language, mixing, quality, simhash, tokens,
 )
 from tallyframe.llm.common import table
 
@@ -75,3 +75,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
