@@ -122,13 +122,30 @@ def piece_counts(words: DataFrame, model_file: str) -> DataFrame:
     return words.mapInArrow(count, "word string, n bigint, pieces int")
 
 
+def least_count(vocabulary: DataFrame) -> int:
+    """The count from which on at most FREQUENT pre-tokens are more frequent.
+
+    Read off a histogram of the counts, eight bins to a power of two, so that no task
+    sorts or merges the vocabulary.
+    """
+    bins = vocabulary.groupBy(F.floor(F.log2("n") * 8).alias("bin")).agg(
+        F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.desc("bin")).collect()
+    held, least = 0, 1 << 62
+    for r in bins:
+        held += r.words
+        if held > FREQUENT:
+            break
+        least = r.least
+    return least
+
+
 def count_tokens(docs: DataFrame, model_file: str) -> DataFrame:
     """Per row: doc_id, n_bytes (of UTF-8) and n_tokens of the whole text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     Pieces(model_file)  # a model that cannot be split is refused here
     vocabulary = save(piece_counts(frequencies(docs), model_file), "pre-tokens")
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "pieces").toArrow()
+    top = vocabulary.where(F.col("n") >= least_count(vocabulary)).select("word", "pieces").toArrow()
     frequent = spark.sparkContext.broadcast(
         dict(zip(top["word"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
     del top
