@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.llm import (
-    decontaminate, exact_dedup, html_extract, language, mixing, quality, simhash, tokens,
+    decontaminate, exact_dedup, html_extract, language, mixing, pii, quality, secrets, simhash,
+    tokens,
 )
 from tallyframe.llm.common import table
 
@@ -80,3 +81,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_text")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
+@query("op3_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.spans(table(spark, sf_dir, "documents"))
