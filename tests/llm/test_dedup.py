@@ -1,8 +1,8 @@
 import random
 from collections import defaultdict
 
-import xxhash
 from pyspark.sql import functions as F
+from tests_support import plain_components, plain_fingerprint
 
 from tallyframe.llm import bloom, exact_dedup, simhash
 
@@ -46,31 +46,6 @@ def test_a_full_filter_changes_no_result(documents, monkeypatch):
     assert all(r.group_size == (2 if r.doc_id % 4000 < 2000 else 1) for r in out)
 
 
-def plain_fingerprint(text):
-    words = (text or "").encode().lower().split()
-    grams = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
-    values = [xxhash.xxh64_intdigest(g, 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values))
-
-
-def plain_components(docs, prints, radius):
-    root = list(range(len(docs)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(docs)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= radius:
-                root[find(i)] = find(j)
-    least = defaultdict(list)
-    for i, (doc_id, _) in enumerate(docs):
-        least[find(i)].append(doc_id)
-    return {doc_id: min(least[find(i)]) for i, (doc_id, _) in enumerate(docs)}
-
-
 def near_copies(seed):
     random.seed(seed)
     words = [f"w{i}" for i in range(400)]
