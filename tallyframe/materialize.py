@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tallyframe.session import limit, shared_folder
+from tallyframe.session import limit, scratch_path
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ class Sized:
         return self.rows <= limit(self.df.sparkSession, "singleTaskRows")
 
     def replace(self, df: DataFrame) -> Sized:
-        """The same bound for a projection or filter of this table."""
+        """The same bound for a filter of this table, or a projection that widens no row."""
         return Sized(df, self.rows, self.bytes)
 
     def reduced(self, df: DataFrame) -> Sized:
@@ -53,21 +53,23 @@ def _variable_width(column: T.StructField) -> bool:
 
 
 def store(df: DataFrame | Sized, **stats: Column) -> Sized:
-    """Checkpoint `df` in the shared folder and measure it.
+    """Write `df` as Parquet to the shared folder and measure it on the way, in one job.
 
-    `stats` are further aggregates to compute while measuring.
+    `stats` are further aggregates to compute while writing.
     """
     if isinstance(df, Sized):
         return df
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint(eager=True)
-    row_bytes = F.lit(16 * max(1, len(kept.columns)))
-    for column in kept.schema.fields:
+    row_bytes = F.lit(16 * max(1, len(df.columns)))
+    for column in df.schema.fields:
         if _variable_width(column):
             length = F.octet_length(F.col(f"`{column.name}`").cast("string"))
             row_bytes = row_bytes + F.coalesce(length, F.lit(0))
-    size = kept.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
+    measures = [
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
         *[value.alias(name) for name, value in stats.items()],
-    ).first()
+    ]
+    watch, path = Observation(), scratch_path(df.sparkSession, "stored")
+    df.observe(watch, *measures).write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    size = watch.get or kept.agg(*measures).first().asDict()  # a plan without rows observes nothing
     return Sized(kept, int(size["n"]), int(size["b"]), {name: size[name] for name in stats})

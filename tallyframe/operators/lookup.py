@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.materialize import Sized, store
 
-# A key holding more than 1/HOT_SHARE of the rows is handled apart. There can
-# be at most HOT_SHARE such keys, so their rows of the lookup always broadcast.
-HOT_SHARE = 1000
-
 
 def all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -22,10 +18,10 @@ def attach(df: DataFrame, lookup: DataFrame | Sized, keys: Sequence[str], how: s
     """Join a lookup that has one row per key to `df`.
 
     A lookup whose measured size is under the broadcast bound is broadcast and
-    the rows stay where they are. A larger one is joined by shuffle for all keys
-    but the hot ones, which meet a broadcast of at most HOT_SHARE lookup rows.
-    Rows with a null key never match and are not shuffled. A stream cannot be
-    counted ahead, so it takes a plain join when the lookup is too large.
+    the rows stay where they are. A larger one is joined by shuffle, in one scan
+    of the rows: partitions that a hot key makes large are split by adaptive
+    execution, which repeats their part of the lookup, as it has one row per key.
+    Streams take the same two ways.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -33,29 +29,7 @@ def attach(df: DataFrame, lookup: DataFrame | Sized, keys: Sequence[str], how: s
     lookup = store(lookup)
     if lookup.broadcastable:
         return df.join(F.broadcast(lookup.df), keys, how)
-    if df.isStreaming:
-        return df.join(lookup.df, keys, how)
-    return _attach_split(df, lookup.df, keys, how)
-
-
-def _attach_split(df: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
-    present = df.where(all_present(keys))
-    counts = store(present.groupBy(*keys).agg(F.count("*").alias("_rows"))).df
-    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
-    hot = store(counts.where(F.col("_rows") > max(1, total // HOT_SHARE)).select(*keys)).df
-    hot_lookup = store(hot.join(lookup, keys, how)).df
-
-    parts = [
-        present.join(F.broadcast(hot_lookup), keys, "inner"),
-        present.join(F.broadcast(hot), keys, "left_anti").join(lookup, keys, how),
-    ]
-    if how == "left":
-        values = [f for f in lookup.schema.fields if f.name not in keys]
-        missing = df.where(~all_present(keys))
-        parts.append(missing.select(
-            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in values]
-        ))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return df.join(lookup.df.hint("shuffle_merge"), keys, how)
 
 
 def flag_members(

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.materialize import store
 from tallyframe.operators.frequency import top_values
-from tallyframe.operators.lookup import all_present, attach
+from tallyframe.operators.lookup import attach
 from tallyframe.operators.ordering import running_sum
-from tallyframe.operators.projection import numeric_columns, split_by_type
-from tallyframe.operators.quantiles import as_number, quantile_columns
+from tallyframe.operators.projection import numeric_columns
+from tallyframe.operators.quantiles import as_number, quantile_columns, quantile_names
+
+
+def present(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null, which is what missing means in all profiles, and -0.0 as 0.0."""
+    return as_number(column) if dict(df.dtypes)[column] in ("float", "double") else F.col(f"`{column}`")
 
 
 def _unpivot(one_row: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -23,7 +29,7 @@ def _unpivot(one_row: DataFrame, entries: Sequence[Column]) -> DataFrame:
 def null_counts(df: DataFrame) -> DataFrame:
     """Missing values per column."""
     counted = df.agg(*[
-        F.count_if(F.col(f"`{c}`").isNull()).alias(str(i)) for i, c in enumerate(df.columns)
+        F.count_if(present(df, c).isNull()).alias(str(i)) for i, c in enumerate(df.columns)
     ])
     return _unpivot(counted, [
         F.struct(F.lit(c).alias("column"), F.col(str(i)).alias("nulls"))
@@ -35,7 +41,7 @@ def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Rows per (column, value), values as text; one pass for all columns."""
     columns = list(columns or df.columns)
     cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column"), present(df, c).cast("string").alias("value"))
         for c in columns
     ]))
     return (
@@ -47,11 +53,12 @@ def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def describe_all(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Descriptive statistics of all columns, one row per column.
 
-    Text columns have count, unique, top and freq; numeric ones count, mean,
-    std, min, interpolated quantiles and max.
+    Numeric columns have count, mean, std, min, interpolated quantiles and max; all
+    others, whatever their type, count, unique, top and freq, with values as text.
     """
-    text, numbers = split_by_type(df)[0], numeric_columns(df)
-    names = [f"p{round(100 * q)}" for q in quartiles]
+    numbers = numeric_columns(df)
+    text = [c for c in df.columns if c not in numbers]
+    names = quantile_names(quartiles)
     quantiles = quantile_columns(df, numbers, quartiles)
     nothing = F.lit(None).cast("double")
 
@@ -90,7 +97,8 @@ def table_overview(df: DataFrame) -> DataFrame:
     """
     missing = sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
     return (
-        df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
+        df.select(*[present(df, c).alias(c) for c in df.columns])
+        .groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
         .agg(
             F.coalesce(F.sum("_copies"), F.lit(0)).alias("n_rows"),
             F.lit(len(df.columns)).alias("n_columns"),
@@ -107,7 +115,7 @@ def profile_columns(
     numbers = set(numeric_columns(df))
     types = dict(df.dtypes)
     quantiles = quantile_columns(df, [c for c in df.columns if c in numbers], probabilities)
-    names = [f"p{round(100 * p)}" for p in probabilities]
+    names = quantile_names(probabilities)
     nothing = F.lit(None).cast("double")
 
     aggregates, entries = [], []
@@ -194,20 +202,44 @@ def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson and Spearman correlation of each column pair.
+    """Pearson and Spearman correlation of each column pair, over the rows that have both.
 
-    Rows with a missing value in any of the columns are left out. Ranks are
-    computed on the distinct values and attached to the rows.
+    Ranks are computed on distinct values and attached to the rows: once per column for
+    the pairs of columns without missing values, per pair for the others.
     """
     columns = list(columns)
-    complete = df.select(*[as_number(c).alias(c) for c in columns]).where(all_present(columns))
-    ranked = complete
-    for c in columns:
-        ranked = attach(ranked, average_ranks(complete, c, f"_{c}"), [c])
-    ranks = ranked.select(*[F.col(f"_{c}").alias(c) for c in columns])
-    pearson = _pairwise(complete, columns, "pearson")
-    spearman = _pairwise(ranks, columns, "spearman")
-    return pearson.join(F.broadcast(spearman), ["column_a", "column_b"])
+    table = df.select(*[as_number(c).alias(c) for c in columns])
+    missing = table.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns]).first()
+    full = [c for c in columns if not missing[c]]
+    ranked = table.select(*full)
+    for c in full:
+        ranked = attach(ranked, average_ranks(table, c, f"_{c}"), [c])
+    ranks = ranked.select(*[F.col(f"_{c}").alias(c) for c in full])
+    spearman = [_pairwise(ranks, full, "spearman")] if len(full) > 1 else []
+    gapped = [p for p in combinations(columns, 2) if missing[p[0]] or missing[p[1]]]
+    if gapped:
+        spearman.append(_spearman_of_pairs(table, gapped))
+    pearson = _pairwise(table, columns, "pearson")
+    return pearson.join(
+        F.broadcast(reduce(DataFrame.unionByName, spearman)), ["column_a", "column_b"])
+
+
+def _spearman_of_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Spearman correlation of pairs with missing values, ranked among the rows that have both."""
+    rows = df.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                 F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")) for a, b in pairs
+    ])).alias("e")).select("e.*").where("a IS NOT NULL AND b IS NOT NULL")
+    names = ["column_a", "column_b"]
+    for side in ("a", "b"):
+        sizes = store(rows.groupBy(*names, side).agg(F.count("*").alias("_n")))
+        ordered = running_sum(sizes, "_n", [F.asc(side)], "_upto", names)
+        rank = ordered.select(*names, side, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(f"rank_{side}"))
+        rows = attach(rows, rank, [*names, side])
+    # a pair without a common row still has its line
+    wanted = df.sparkSession.createDataFrame(list(pairs), names)
+    found = rows.groupBy(*names).agg(F.corr("rank_a", "rank_b").alias("spearman"))
+    return wanted.join(F.broadcast(found), names, "left")
 
 
 def text_lengths(df: DataFrame, columns: Sequence[str]) -> DataFrame:

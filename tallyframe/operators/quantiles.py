@@ -14,9 +14,17 @@ BUCKETS = 1024
 
 
 def as_number(column: str) -> Column:
-    """The column as a double; NaN counts as missing."""
+    """The column as a double; NaN counts as missing, and -0.0 is 0.0."""
     value = F.col(f"`{column}`").cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value), value + 0.0)
+
+
+def quantile_names(probabilities: Sequence[float]) -> list[str]:
+    """`p25` for 0.25, `p0_1` for 0.001: one name for each probability."""
+    names = [f"p{100 * p:.10g}".replace(".", "_") for p in probabilities]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a probability is given twice: {list(probabilities)}")
+    return names
 
 
 @dataclass
@@ -36,7 +44,8 @@ def quantile_columns(
 
     A table of few cells uses the exact `percentile` aggregate. That aggregate
     keeps every distinct value in one task, so a larger table is narrowed down
-    by histograms instead and the expressions are literals.
+    by histograms instead and the expressions are literals. Both find the same order
+    statistics, infinities among them, and weigh them by the same formula.
     """
     cells = df.count() * max(1, len(columns))
     if cells <= limit(df.sparkSession, "percentileCells"):
@@ -60,19 +69,21 @@ def _narrow(df: DataFrame, columns: list[str], probabilities: list[float]) -> di
     """
     bounds = df.agg(*[
         expression for i, c in enumerate(columns) for expression in (
-            F.count(as_number(c)).alias(f"n{i}"), F.min(as_number(c)).alias(f"a{i}"),
-            F.max(as_number(c)).alias(f"b{i}"))
+            F.count(as_number(c)).alias(f"n{i}"),
+            F.min(_finite(c)).alias(f"a{i}"), F.max(_finite(c)).alias(f"b{i}"),
+            F.count_if(as_number(c) == -math.inf).alias(f"i{i}"),
+            F.count_if(as_number(c) == math.inf).alias(f"j{i}"))
     ]).first()
     values: dict[tuple[int, int], float] = {}
     open_at: dict[int, list[_Interval]] = {}
-    for i, name in enumerate(columns):
-        n, low, high = bounds[f"n{i}"], bounds[f"a{i}"], bounds[f"b{i}"]
-        if not n:
-            continue
-        if math.isinf(low) or math.isinf(high):
-            raise ValueError(f"column {name!r} holds infinite values")
+    for i in range(len(columns)):
+        n, below, above = bounds[f"n{i}"], bounds[f"i{i}"], bounds[f"j{i}"]
         ranks = {r for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
-        _settle(i, [_Interval(low, high, 0, sorted(ranks))], values, open_at)
+        values.update({(i, r): -math.inf for r in ranks if r < below})
+        values.update({(i, r): math.inf for r in ranks if r >= n - above})
+        finite = sorted(r for r in ranks if below <= r < n - above)
+        if finite:
+            _settle(i, [_Interval(bounds[f"a{i}"], bounds[f"b{i}"], below, finite)], values, open_at)
 
     while open_at:
         counted = _histogram(df, columns, open_at).collect()
@@ -108,8 +119,15 @@ def _settle(i, intervals, values, open_at) -> None:
 
 
 def _interpolate(values, i: int, position: float) -> float:
-    low, high = values[i, math.floor(position)], values[i, math.ceil(position)]
-    return low + (high - low) * (position - math.floor(position))
+    """As the `percentile` aggregate does it, to the last digit."""
+    below, above = math.floor(position), math.ceil(position)
+    low, high = values[i, below], values[i, above]
+    return low if low == high else (above - position) * low + (position - below) * high
+
+
+def _finite(column: str) -> Column:
+    value = as_number(column)
+    return F.when(F.abs(value) < math.inf, value)
 
 
 def _histogram(df: DataFrame, columns: list[str], open_at: dict[int, list[_Interval]]) -> DataFrame:

@@ -61,16 +61,6 @@ def read_csv(
     return nulls_from_tokens(frame, tokens)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that is scanned in fewer partitions than there are.
-
-    A few small files, or one file of a single row group, would otherwise keep
-    every later step in as few tasks. Tables of many files are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
     if format == "csv":
         return read_csv(spark, path, **options)

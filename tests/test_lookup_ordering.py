@@ -18,7 +18,7 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_split_join_equals_broadcast_join(spark, bounds, skewed, how):
+def test_shuffled_join_equals_broadcast_join(spark, bounds, skewed, how):
     lookup = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     expected = rows(skewed.join(lookup, "k", how).select("id", "k", "v"))
     assert rows(attach(skewed, lookup, ["k"], how).select("id", "k", "v")) == expected
@@ -37,6 +37,16 @@ def test_large_lookup_is_not_broadcast_whole(spark, bounds, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_chain_of_large_lookups_scans_its_input_once(spark, bounds, tmp_path):
+    spark.range(500).select("id", (F.col("id") % 9).alias("k"), (F.col("id") % 4).alias("j")).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    bounds(broadcastBytes=0)
+    for key in ("k", "j", "k", "j"):
+        df = attach(df, spark.range(9).select(F.col("id").alias(key), F.lit(1).alias(f"v{len(df.columns)}")), [key])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1 and df.count() == 500
+
+
 @pytest.mark.parametrize("limit", [10**6, 0])
 def test_members_and_mapping(spark, bounds, limit):
     bounds(broadcastBytes=limit)

@@ -33,6 +33,50 @@ def test_narrowed_quantiles_are_exact(spark, bounds, numbers):
         assert np.allclose([values[f"{c}{i}"] for i in range(len(probabilities))], expected, rtol=1e-12, atol=0)
 
 
+@pytest.mark.parametrize("special", [[], [float("inf")], [float("-inf"), float("inf"), float("nan")], [None, float("-inf")]])
+def test_both_ways_to_quantiles_agree_to_the_last_digit(spark, bounds, special):
+    rng = np.random.default_rng(7)
+    values = [*(rng.normal(size=501) * 1e5).tolist(), 0.0, -0.0, 1e-300, *special * 3]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    probabilities = [0.0, 0.001, 0.004, 0.1, 1 / 3, 0.5, 0.77, 0.995, 1.0]
+
+    def found():
+        row = df.agg(*[v.alias(f"q{i}") for i, v in enumerate(quantile_columns(df, ["a"], probabilities)["a"])]).first()
+        return [repr(v) for v in row]
+
+    exact = found()
+    bounds(percentileCells=0)
+    assert found() == exact
+
+
+def test_one_meaning_of_missing(spark):
+    df = spark.createDataFrame([(float("nan"), True), (None, None), (0.0, True), (-0.0, False)], "x double, b boolean")
+    assert {r["column"]: r["nulls"] for r in profiling.null_counts(df).collect()} == {"x": 2, "b": 1}
+    assert profiling.table_overview(df).first()["missing_cells"] == 3
+    profile = {r["column"]: r for r in profiling.profile_columns(df).collect()}
+    assert (profile["x"]["count"], profile["x"]["missing"], profile["x"]["distinct"]) == (2, 2, 1)
+    described = {r["column"]: r for r in profiling.describe_all(df, [0.001, 0.004]).collect()}
+    assert described["b"]["top"] == "true" and described["b"]["freq"] == 2
+    assert {"p0_1", "p0_4"} <= set(profiling.describe_all(df, [0.001, 0.004]).columns)
+    assert set(described) == {"x", "b"}
+
+
+@pytest.mark.parametrize("limit", [10**8, 0])
+def test_pairwise_correlations_match_pandas(spark, bounds, limit):
+    bounds(broadcastBytes=limit)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.integers(0, 40, (400, 4)).astype(float), columns=list("abcd"))
+    pdf["b"] += pdf["a"]
+    pdf.loc[rng.random(400) < 0.3, "b"] = np.nan
+    pdf.loc[rng.random(400) < 0.3, "c"] = np.nan
+    pdf["e"] = np.nan
+    found = profiling.correlations(spark.createDataFrame(pdf), list("abcde")).toPandas()
+    assert len(found) == 10
+    for r in found.itertuples():
+        for ours, method in ((r.pearson, "pearson"), (r.spearman, "spearman")):
+            assert np.isclose(ours, pdf.corr(method).loc[r.column_a, r.column_b], atol=1e-9, equal_nan=True)
+
+
 def test_quantiles_of_nothing(spark, bounds):
     bounds(percentileCells=0)
     df = spark.createDataFrame([(None,)], "a double")

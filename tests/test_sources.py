@@ -55,13 +55,6 @@ def test_streamed_records_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_narrow_scans_are_spread(spark, reports):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(reports.coalesce(1)).rdd.getNumPartitions() == cores
-    wide = reports.repartition(cores + 3)
-    assert tables.spread(wide) is wide
-
-
 def test_scratch_paths_are_fresh_and_shared(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_folder(spark).rstrip("/"))
