@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import ISSUES, component_case, query, score_sql
+from checks.registry import ISSUES, component_case, lowered, query, score_sql
 from tallyframe.functions.similarity import match_masks, score
 from tallyframe.functions.text import apply_rules, normalize, COMPONENT_RULES
 from tallyframe.operators import frequency, namemerge, pooling, projection
@@ -273,6 +273,13 @@ def clean_job(spark, sf_dir):
     return cleaning.clean(issues(spark, sf_dir), keep=["row_key"])
 
 
+@query("clean_job_large", f"WITH {CLEAN_SQL} SELECT * FROM clean")
+def clean_job_large(spark, sf_dir):
+    """The cleaning job with every lookup joined by shuffle and every order cut into slices."""
+    with lowered(spark, broadcastBytes=0, singleTaskRows=50):
+        return cleaning.clean(issues(spark, sf_dir), keep=["row_key"])
+
+
 @query("clean_summary", f"""
 WITH {CLEAN_SQL} SELECT product_name, component_name, count(*) AS n FROM clean GROUP BY ALL""")
 def clean_summary(spark, sf_dir):

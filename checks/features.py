@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import ISSUES, query
+from checks.registry import ISSUES, lowered, query
 from tallyframe.operators import frequency, groupfeatures
 from tallyframe.plans.issues import issues
 
@@ -49,6 +49,14 @@ def group_features(spark, sf_dir):
     return groupfeatures.group_features(gapped(spark, sf_dir))
 
 
+@query("group_features_large", f"""
+WITH {_ALL} SELECT row_key, component_name, product_name, assignee_name, {_MEASURES} FROM features""")
+def group_features_large(spark, sf_dir):
+    """Group features with every lookup joined by shuffle."""
+    with lowered(spark, broadcastBytes=0):
+        return groupfeatures.group_features(gapped(spark, sf_dir))
+
+
 @query("distinct_per_group", f"""
 WITH {_GAPPED}
 SELECT product_name, count(DISTINCT component_name) AS n FROM gapped

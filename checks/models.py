@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from tallyframe.operators import (
 )
 from tallyframe.plans import cleaning, features, scoring, training
 from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
+from tallyframe.session import scratch_path
+from tallyframe.sources.tables import read_table, write_table
 from tallyframe.streaming.scoring import run_available
 
 _QUOTAS = """
@@ -245,7 +250,7 @@ def pca_project(spark, sf_dir):
 
 @query("pca_invariants", f"""
 WITH {ISSUES} SELECT round({' + '.join(f'var_samp({c})' for c in FEATURE_INTS)}, 4) AS variance,
-       0.0::DOUBLE AS mean, 0.0::DOUBLE AS covariance FROM issues""")
+       0.0::DOUBLE AS mean, 0.0::DOUBLE AS covariance, true AS falling FROM issues""")
 def pca_invariants(spark, sf_dir):
     """All components together keep the variance, have mean 0 and do not correlate."""
     rows = _vectors(spark, sf_dir).select("features")
@@ -254,8 +259,10 @@ def pca_invariants(spark, sf_dir):
     names = projected.columns
     return projected.agg(
         F.round(sum(F.var_samp(c) for c in names), 4).alias("variance"),
-        F.abs(F.round(F.greatest(*[F.avg(c) for c in names]), 4)).alias("mean"),
-        F.abs(F.round(F.greatest(*[F.covar_samp(a, b) for a in names for b in names if a < b]), 4)).alias("covariance"))
+        F.round(F.greatest(*[F.abs(F.avg(c)) for c in names]), 4).alias("mean"),
+        F.round(F.greatest(*[F.abs(F.covar_samp(a, b)) for a in names for b in names if a < b]), 4).alias("covariance"),
+        F.array_sort(F.array(*[-F.var_samp(c) for c in names])).eqNullSafe(
+            F.array(*[-F.var_samp(c) for c in names])).alias("falling"))
 
 
 @query("model_input")
@@ -290,10 +297,25 @@ def _feature_table(spark, sf_dir):
     return features.features(cleaned, "row_key", resample="none")
 
 
-@query("train_predict")
+_SPLIT_SQL = f"""
+sizes AS (SELECT product_name, count(*) AS n FROM clean GROUP BY 1),
+total AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) - ceil(0.2::DOUBLE * sum(n)) AS BIGINT) AS train FROM sizes),
+shared AS (SELECT product_name, n, CAST(n AS HUGEINT) * train // total AS share,
+                  CAST(n AS HUGEINT) * train % total AS rest, train FROM sizes, total),
+quotas AS (SELECT product_name, n, CAST(n - share - CASE WHEN row_number() OVER (ORDER BY rest DESC, product_name)
+                  <= train - sum(share) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM shared)"""
+
+
+@query("train_predict", f"""
+WITH {CLEAN_SQL}, {_SPLIT_SQL}
+SELECT row_key, product_name, true AS known,
+       row_number() OVER (PARTITION BY product_name ORDER BY md5('0|' || row_key || '|0')) <= quota AS is_test
+FROM clean JOIN quotas USING (product_name)""")
 def train_predict(spark, sf_dir):
+    """The exact split; a prediction is one of the classes."""
     trained = training.train(_feature_table(spark, sf_dir).table, trials=[_SMALL], n_estimators=10)
-    return trained.predictions.select("row_key", "product_name", "is_test", "prediction", "predicted_name")
+    known = F.col("predicted_name").isin(list(trained.labels.labelsArray[0]))
+    return trained.predictions.select("row_key", "product_name", "is_test", known.alias("known"))
 
 
 @query("train_boosted")
@@ -333,6 +355,61 @@ def score_batch(spark, sf_dir):
     return _scorer(spark, sf_dir).score(issues(spark, sf_dir), "row_key")
 
 
+@query("score_saved", f"WITH {ISSUES} SELECT row_key, true AS lookup_hit, true AS same FROM issues")
+def score_saved(spark, sf_dir):
+    """Scores of the saved pipeline, loaded again, next to those of the scorer in memory."""
+    raw, folder = issues(spark, sf_dir), scratch_path(spark, "scorer")
+    made = _feature_table(spark, sf_dir)
+    trained = training.train(made.table, trials=[_SMALL], n_estimators=10)
+    scorer = scoring.build_scorer(made, trained, cleaning.learn(raw))
+    scoring.save_scorer(scorer, folder)
+    again = PipelineModel.load(f"{folder}/record_pipeline").transform(raw).select(
+        "row_key", "lookup_hit", F.col("product").alias("again"))
+    here = scorer.score(raw, "row_key").select("row_key", "product")
+    return again.join(here, "row_key").select("row_key", "lookup_hit", (F.col("product") == F.col("again")).alias("same"))
+
+
+@query("feature_job", f"""
+WITH {CLEAN_SQL}, sizes AS (SELECT count(*) AS n FROM clean),
+t AS (SELECT DISTINCT component_name, product_name, assignee_name FROM clean)
+SELECT n AS final_selection, n AS model_input, (SELECT count(*) FROM t) AS feature_lookup,
+       (SELECT count(DISTINCT (component_name, assignee_name)) FROM clean) AS lookup_means FROM sizes""")
+def feature_job(spark, sf_dir):
+    """The job from raw reports to saved tables, whose files are read again and counted."""
+    folder = scratch_path(spark, "features")
+    features.run(issues(spark, sf_dir), folder, key="row_key", resample="none")
+    counts = [
+        spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias(name))
+        for name in ("final_selection", "model_input", "feature_lookup", "lookup_means")]
+    return reduce(lambda a, b: a.join(F.broadcast(b)), counts)
+
+
+@query("lookup_roundtrip", f"""
+WITH {CLEAN_SQL}, f AS (SELECT component_name, product_name, assignee_name,
+  count(*) OVER (PARTITION BY product_name, component_name) AS n_components,
+  count(*) OVER (PARTITION BY product_name, assignee_name) AS n_assignees,
+  count(*) OVER (PARTITION BY product_name) AS n_product_rows FROM clean),
+u AS (SELECT product_name, count(DISTINCT component_name) AS n_un_components FROM clean GROUP BY 1)
+SELECT DISTINCT component_name, product_name, assignee_name, n_components, n_assignees, n_un_components, n_product_rows
+FROM f JOIN u USING (product_name)""")
+def lookup_roundtrip(spark, sf_dir):
+    """The lookup table through its files."""
+    lookup = groupfeatures.feature_lookup(cleaning.clean(issues(spark, sf_dir)))
+    return read_table(spark, write_table(lookup, scratch_path(spark, "lookup"), "feature_lookup"))
+
+
+@query("feature_table_roundtrip", f"""
+WITH {CLEAN_SQL} SELECT row_key, product_name, CAST(0 AS BIGINT) AS replica, true AS same FROM clean""")
+def feature_table_roundtrip(spark, sf_dir):
+    """The feature table through its files, every component equal to the last digit."""
+    made = store(_feature_table(spark, sf_dir).table).df
+    again = read_table(spark, write_table(made, scratch_path(spark, "input"), "model_input"))
+    names = [c for c in made.columns if c.startswith("pca")]
+    there = again.select("row_key", "product_name", "replica", F.array(*names).alias("there"))
+    here = made.select("row_key", F.array(*names).alias("here"))
+    return there.join(here, "row_key").select("row_key", "product_name", "replica", (F.col("here") == F.col("there")).alias("same"))
+
+
 def _stream(spark, sf_dir):
     lines = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).option(
         "pathGlobFilter", "lineitem.parquet").option("maxFilesPerTrigger", 1000).parquet(sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.features import gapped, _GAPPED
-from checks.registry import ISSUES, query
+from checks.registry import ISSUES, lowered, query
 from tallyframe.operators import profiling, quality
 from tallyframe.plans.issues import FEATURE_INTS, NAMES, issues, table
 
@@ -124,6 +124,57 @@ def frequent_values(spark, sf_dir):
     return profiling.frequent_values(table(spark, sf_dir, "orders"), _FREQUENT, 10)
 
 
+def _mixed(spark, sf_dir):
+    """Orders with a boolean, a date text, a timestamp and a number with gaps, NaN and both zeros."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") % 3 == 0).alias("flag"), F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).when(F.col("o_orderkey") % 11 == 0, None)
+        .when(F.col("o_orderkey") % 5 == 0, F.lit(-0.0)).when(F.col("o_orderkey") % 5 == 1, F.lit(0.0))
+        .otherwise(F.col("o_totalprice")).cast("double").alias("price"))
+
+
+_MIXED = """
+mixed AS (SELECT o_orderkey, o_orderkey % 3 = 0 AS flag, CAST(o_orderdate AS DATE) AS day,
+  CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 5 < 2 THEN 0.0
+       ELSE CAST(o_totalprice AS DOUBLE) END AS price FROM orders)"""
+
+
+def _mode(c: str) -> str:
+    return f"""
+SELECT '{c}' AS "column", (SELECT count({c}) FROM mixed) AS count, (SELECT count(DISTINCT {c}) FROM mixed) AS "unique",
+       CAST({c} AS VARCHAR) AS top, count(*) AS freq FROM mixed WHERE {c} IS NOT NULL
+GROUP BY {c} ORDER BY freq DESC, top LIMIT 1"""
+
+
+@query("describe_all_types", f"WITH {_MIXED} " + _union(
+    [f"({_mode(c)})" for c in ("flag", "day")]
+    + [f"SELECT '{c}', count({c}), NULL, NULL, NULL FROM mixed" for c in ("o_orderkey", "price")]))
+def describe_all_types(spark, sf_dir):
+    return profiling.describe_all(_mixed(spark, sf_dir)).select("column", "count", "unique", "top", "freq")
+
+
+@query("profile_nan", f"WITH {_MIXED} " + _union([
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, count(*) - count({c}) AS missing, "
+    f"count(DISTINCT {c}) AS \"distinct\" FROM mixed" for c in ("o_orderkey", "flag", "day", "price")]))
+def profile_nan(spark, sf_dir):
+    return profiling.profile_columns(_mixed(spark, sf_dir)).select("column", "count", "missing", "distinct")
+
+
+_LARGE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("quantiles_large", _union([
+    f"SELECT '{c}' AS \"column\", " + ", ".join(
+        f"round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS {n}" for n, p in
+        {"p0_1": 0.001, "p50": 0.5, "p99_9": 0.999}.items()) + " FROM lineitem" for c in _LARGE]))
+def quantiles_large(spark, sf_dir):
+    """Quantiles narrowed down by histograms, as for tables of many cells."""
+    rows = table(spark, sf_dir, "lineitem").select(*_LARGE)
+    with lowered(spark, percentileCells=0):
+        found = profiling.describe_all(rows, (0.001, 0.5, 0.999))
+    return found.select("column", *[F.round(c, 6).alias(c) for c in ("p0_1", "p50", "p99_9")])
+
+
 _CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _RANKS = ", ".join(
     f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r_{c}"
@@ -139,6 +190,36 @@ def correlations(spark, sf_dir):
         {"pearson": F.round("pearson", 6), "spearman": F.round("spearman", 6)})
 
 
+@query("correlations_large", f"WITH ranked AS (SELECT *, {_RANKS} FROM lineitem) " + _union([
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS pearson, "
+    f"round(corr(r_{a}, r_{b}), 6) AS spearman FROM ranked"
+    for i, a in enumerate(_CORRELATED) for b in _CORRELATED[i + 1:]]))
+def correlations_large(spark, sf_dir):
+    """Correlations with every rank joined by shuffle and ranked in slices."""
+    with lowered(spark, broadcastBytes=0, singleTaskRows=1000):
+        found = profiling.correlations(table(spark, sf_dir, "lineitem"), _CORRELATED)
+    return found.withColumns({"pearson": F.round("pearson", 6), "spearman": F.round("spearman", 6)})
+
+
+_GAPS = {"a": "CASE WHEN l_orderkey % 4 > 0 THEN l_quantity END", "b": "CASE WHEN l_orderkey % 5 > 0 THEN l_extendedprice END",
+         "c": "l_discount", "d": "l_tax"}
+
+
+def _pair_sql(a: str, b: str) -> str:
+    ranks = ", ".join(f"rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2.0::DOUBLE AS r_{x}" for x in (a, b))
+    return (f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS pearson, round(corr(r_{a}, r_{b}), 6) AS spearman "
+            f"FROM (SELECT {a}, {b}, {ranks} FROM gaps WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+
+
+@query("correlations_nulls", f"WITH gaps AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _GAPS.items())} FROM lineitem) " + _union(
+    [f"({_pair_sql(a, b)})" for i, a in enumerate("abcd") for b in "abcd"[i + 1:]]))
+def correlations_nulls(spark, sf_dir):
+    """Each pair over the rows that have both values."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in _GAPS.items()])
+    return profiling.correlations(rows, list(_GAPS)).withColumns(
+        {"pearson": F.round("pearson", 6), "spearman": F.round("spearman", 6)})
+
+
 @query("text_lengths", _union([
     f"SELECT '{c}' AS \"column\", CAST(min(length({c})) AS INTEGER) AS min_length, "
     f"round(avg(length({c})), 6) AS mean_length, CAST(max(length({c})) AS INTEGER) AS max_length FROM documents"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,20 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@contextmanager
+def lowered(spark: SparkSession, **bounds: int):
+    """Lower `spark.tallyframe.*` bounds while a query is built, so that it takes the way of large tables."""
+    names = {f"spark.tallyframe.{k}": str(v) for k, v in bounds.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # The issue view of `tallyframe.plans.issues`, as a common table expression.
 ISSUES = """
 issues AS (

@@ -24,6 +24,10 @@ def parquet_roundtrip(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+_DEFAULTED = [
+    "creation_date", "short_description", "long_description", "reporter_name", "status_category",
+    "update_date", "resolution_date", "severity_category",
+]
 _TOKEN = """CASE p_partkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN 'null' WHEN 3 THEN 'n/a'
  WHEN 4 THEN 'none' ELSE p_name END"""
 
@@ -35,13 +39,45 @@ def null_tokens(spark, sf_dir):
     return tables.nulls_from_tokens(named)
 
 
+_TEXTS = """CASE WHEN l_orderkey % 9 = 0 THEN 'NaN' WHEN l_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(l_linenumber AS VARCHAR) END"""
+
+
+@query("csv_inferred", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS price,
+       CASE WHEN l_orderkey % 9 > 0 AND l_orderkey % 10 > 0 THEN CAST(l_linenumber AS BIGINT) END AS line,
+       l_orderkey % 2 = 0 AS even, 'x' || l_linenumber AS name FROM lineitem""")
+def csv_inferred(spark, sf_dir):
+    """Types found after the null tokens are taken out: `n/a` and `NaN` leave a column whole numbers."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price"),
+        F.expr(_TEXTS.replace("VARCHAR", "STRING")).alias("line"), (F.col("l_orderkey") % 2 == 0).alias("even"),
+        F.concat(F.lit("x"), F.col("l_linenumber").cast("string")).alias("name"))
+    return tables.read_csv(spark, tables.write_table(rows, scratch_path(spark, "csv"), "lines", "csv"))
+
+
+@query("json_invalid", f"""
+WITH {ISSUES}
+SELECT row_key, CASE WHEN resolution_code > 2 THEN component_name END AS component_name,
+       CASE WHEN resolution_code > 2 THEN status_code END AS status_code,
+       CASE WHEN resolution_code > 2 THEN 'normal' END AS severity_category,
+       CASE WHEN resolution_code = 1 THEN 'no json' WHEN resolution_code = 2 THEN 'null' END AS rejected FROM issues""")
+def json_invalid(spark, sf_dir):
+    """Texts that are no JSON object, or null, are rejected and never filled with defaults."""
+    text = F.when(F.col("resolution_code") == 1, "no json").when(
+        F.col("resolution_code") > 2, F.to_json(F.struct("component_name", "status_code")))
+    parsed = records.parse_records(
+        issues(spark, sf_dir).select("row_key", text.alias("value")), keep=("row_key",), invalid="null")
+    return parsed.select("row_key", "component_name", "status_code", "severity_category", "rejected")
+
+
 @query("json_defaults", f"""
 WITH {ISSUES}
 SELECT row_key, CASE WHEN resolution_code = 3 THEN 'engine' ELSE component_name END AS component_name,
        assignee_name, 'fixed' AS resolution_category,
        CASE WHEN status_code = 5 THEN 4 ELSE status_code END AS status_code,
        quantity_of_votes, CASE WHEN quantity_of_comments > 40 THEN 8 ELSE quantity_of_comments END AS quantity_of_comments,
-       bug_fix_time, severity_code FROM issues""")
+       bug_fix_time, severity_code, {', '.join(f"'{records.RECORD_DEFAULTS[c]}' AS {c}" for c in _DEFAULTED)},
+       CASE WHEN resolution_code = 3 THEN 1 ELSE resolution_code END AS resolution_code FROM issues""")
 def json_defaults(spark, sf_dir):
     """Records as JSON text: some fields missing or null, numbers partly as texts."""
     text = F.to_json(F.struct(
@@ -50,7 +86,7 @@ def json_defaults(spark, sf_dir):
         F.when(F.col("status_code") != 5, F.col("status_code").cast("string")).alias("status_code"),
         F.col("quantity_of_votes").cast("string").alias("quantity_of_votes"),
         F.when(F.col("quantity_of_comments") <= 40, F.col("quantity_of_comments")).alias("quantity_of_comments"),
-        "bug_fix_time", F.col("severity_code").cast("string").alias("severity_code")))
+        "bug_fix_time", F.col("severity_code").cast("string").alias("severity_code"),
+        F.when(F.col("resolution_code") != 3, F.col("resolution_code")).alias("resolution_code")))
     parsed = records.parse_records(issues(spark, sf_dir).select("row_key", text.alias("value")), keep=("row_key",))
-    return parsed.select("row_key", "component_name", "assignee_name", "resolution_category", "status_code",
-                         "quantity_of_votes", "quantity_of_comments", "bug_fix_time", "severity_code")
+    return parsed.select("row_key", *records.RECORD_DEFAULTS)

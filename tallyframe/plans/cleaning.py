@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.text import COMPONENT_RULES, Rule
 from tallyframe.materialize import Sized, store
@@ -49,6 +50,22 @@ class CleaningRules:
             out = pool_others(out, self.products, "product_name", self.tail_name)
         return out
 
+    def save(self, folder: str) -> None:
+        """Write the learned tables and names below `folder`."""
+        for name in ("components", "assignees", "products"):
+            getattr(self, name).df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        names = {"rules": [asdict(r) for r in self.rules], "rare_name": self.rare_name, "tail_name": self.tail_name}
+        spark = self.components.df.sparkSession
+        spark.createDataFrame([(json.dumps(names),)], "names string").write.mode("overwrite").parquet(f"{folder}/names")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> CleaningRules:
+        tables = {
+            name: store(spark.read.parquet(f"{folder}/{name}")) for name in ("components", "assignees", "products")}
+        names = json.loads(spark.read.parquet(f"{folder}/names").first()["names"])
+        rules = tuple(Rule(**r) for r in names.pop("rules"))
+        return CleaningRules(**tables, rules=rules, **names)
+
 
 def learn(
     df: DataFrame, rules: Sequence[Rule] = COMPONENT_RULES, min_rows: int = 3,

@@ -19,7 +19,7 @@ from tallyframe.operators.oversampling import oversample
 from tallyframe.operators.sampling import replicate, stratified_split
 from tallyframe.plans.cleaning import clean
 from tallyframe.sources.models import save_model
-from tallyframe.sources.tables import write_table
+from tallyframe.sources.tables import read_table, write_table
 
 LABEL = "product_name"
 # Fixed values.
@@ -106,8 +106,7 @@ def run(raw: DataFrame, folder: str, format: str = "parquet", key: str | None =
     """Clean, build features, and save both tables and all fitted parts below `folder`."""
     carried = [key] if key else []
     path = write_table(clean(raw, keep=carried), folder, "final_selection", format)
-    cleaned = raw.sparkSession.read.parquet(path) if format == "parquet" else (
-        raw.sparkSession.read.options(header=True, inferSchema=True, escape='"', multiLine=True).csv(path))
+    cleaned = read_table(raw.sparkSession, path, format)
     made = features(cleaned, key, **options)
     save(made, folder, format)
     return made

@@ -45,20 +45,46 @@ def nulls_from_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> Dat
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
-    tokens: Sequence[str] = NULL_TOKENS, multiline: bool = True,
+    tokens: Sequence[str] = NULL_TOKENS, multiline: bool = True, invalid: str = "error",
 ) -> DataFrame:
     """Scan CSV with a header, which must agree with the schema.
 
-    Without a schema types are inferred, which costs a scan. Pass
-    `multiline=False` for files without quoted line breaks, so that one large
-    file can be split among tasks.
+    All columns are read as text, null tokens become nulls, and then types are given:
+    those of the schema, or inferred in one scan. A text that does not fit the schema's
+    type raises, or becomes null with `invalid="null"`. Pass `multiline=False` for files
+    without quoted line breaks, so that one large file can be split among tasks.
     """
+    if invalid not in ("error", "null"):
+        raise ValueError(f"unknown invalid {invalid!r}")
     reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline)
     if schema is None:
-        frame = reader.options(inferSchema=True, nullValue="NA").csv(path)
-    else:
-        frame = reader.options(enforceSchema=False).schema(schema).csv(path)
-    return nulls_from_tokens(frame, tokens)
+        frame = nulls_from_tokens(reader.csv(path), tokens)
+        return frame.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in infer_types(frame).items()])
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    frame = nulls_from_tokens(reader.options(enforceSchema=False).schema(texts).csv(path), tokens)
+    columns = []
+    for field in schema.fields:
+        text = F.col(f"`{field.name}`")
+        value = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
+        if invalid == "error" and not isinstance(field.dataType, T.StringType):
+            wrong = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)
+            value = F.when(
+                text.isNotNull() & value.isNull(), F.raise_error(wrong).cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return frame.select(*columns)
+
+
+def infer_types(texts: DataFrame) -> dict[str, str]:
+    """The narrowest of bigint, double and boolean that every text of a column has, else string."""
+    kinds = ("bigint", "double", "boolean")
+    misses = texts.agg(*[
+        F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+        for i, c in enumerate(texts.columns) for k in kinds
+    ], *[F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(texts.columns)]).first()
+    return {
+        c: next((k for k in kinds if misses[f"{i}_n"] and not misses[f"{i}_{k}"]), "string")
+        for i, c in enumerate(texts.columns)
+    }
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:

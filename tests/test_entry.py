@@ -1,9 +1,10 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import registry
 from checks.compare import canonical, oracle_rows
 
-from conftest import SF
+SF = "/root/testdata/sf0.001"
 
 # Covered end to end by other tests, and slow.
 SLOW = {"model_input", "model_input_sizes", "hyper_search", "train_metrics", "score_batch", "score_stream", "train_predict"}
@@ -18,7 +19,7 @@ def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in SLOW])
 def test_query_matches_sql(spark, name):
     df = contract.queries()[name](spark, SF)
     got = df.collect()

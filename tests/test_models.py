@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import components, encoding, metrics, stages, training as trees
 from tallyframe.operators.groupfeatures import lookup_means
+from tallyframe.operators.stages import CleanNames, GroupLookup, NormalizedNames
 from tallyframe.plans import cleaning, features, scoring, training
 from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
 from tallyframe.streaming.scoring import run_available
 
-from conftest import SF
+SF = "/root/testdata/sf0.001"
 
 
 def dense(df, column):
@@ -151,8 +152,9 @@ def test_training_job(spark, job):
 def test_stream_scores_like_batch(spark, job):
     raw, made, trained, folder = job
     for rules in (None, cleaning.learn(raw)):
-        scoring.save_scorer(scoring.build_scorer(made, trained), folder)
-        scorer = scoring.load_scorer(spark, folder, rules)
+        whole = scoring.save_scorer(scoring.build_scorer(made, trained, rules), folder)
+        scorer = scoring.load_scorer(spark, folder)
+        assert (scorer.rules is None) == (rules is None)
         batch = scorer.score(raw, "row_key")
         stream = as_issues(
             spark.readStream.schema(table(spark, SF, "lineitem").schema)
@@ -161,6 +163,10 @@ def test_stream_scores_like_batch(spark, job):
         scored = run_available(stream, lambda rows: scorer.score(rows, "row_key"))
         assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, batch.collect()))
         assert batch.count() == raw.count()
+        one = PipelineModel.load(f"{folder}/record_pipeline").transform(raw).select("row_key", "lookup_hit", "product")
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, batch.collect()))
+        assert [type(s) for s in whole.stages[:2]] == [
+            CleanNames if rules else NormalizedNames, GroupLookup]
     with pytest.raises(ValueError, match="not a stream"):
         run_available(raw, lambda rows: rows)
 
