@@ -55,7 +55,7 @@ def _variable_width(column: T.StructField) -> bool:
 def store(df: DataFrame | Sized, **stats: Column) -> Sized:
     """Write `df` as Parquet to the shared folder and measure it on the way, in one job.
 
-    `stats` are further aggregates to compute while writing.
+    `stats` are further aggregates, read off the written table.
     """
     if isinstance(df, Sized):
         return df
@@ -64,12 +64,10 @@ def store(df: DataFrame | Sized, **stats: Column) -> Sized:
         if _variable_width(column):
             length = F.octet_length(F.col(f"`{column.name}`").cast("string"))
             row_bytes = row_bytes + F.coalesce(length, F.lit(0))
-    measures = [
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
-        *[value.alias(name) for name, value in stats.items()],
-    ]
+    measures = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")]
     watch, path = Observation(), scratch_path(df.sparkSession, "stored")
     df.observe(watch, *measures).write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     size = watch.get or kept.agg(*measures).first().asDict()  # a plan without rows observes nothing
-    return Sized(kept, int(size["n"]), int(size["b"]), {name: size[name] for name in stats})
+    found = kept.agg(*[v.alias(k) for k, v in stats.items()]).first().asDict() if stats else {}
+    return Sized(kept, int(size["n"]), int(size["b"]), found)

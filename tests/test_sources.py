@@ -20,7 +20,35 @@ def test_csv_quirks(spark, tmp_path):
     assert got["quantity_of_comments"] is None and got["status_code"] == 4
     assert got["creation_date"] == "2015-05-22"
     inferred = tables.read_csv(spark, str(path))
-    assert dict(inferred.dtypes)["status_code"] == "int"
+    assert dict(inferred.dtypes)["status_code"] == "bigint"
+    row[10] = "four"
+    path.write_text(header + "\n" + ",".join(row) + "\n")
+    assert tables.read_csv(spark, str(path), tables.REPORT_SCHEMA, invalid="null").first()["status_code"] is None
+    with pytest.raises(Exception, match="status_code is no bigint: four"):
+        tables.read_csv(spark, str(path), tables.REPORT_SCHEMA).collect()
+
+
+def test_types_are_inferred_after_null_tokens(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("i,d,b,s,n\nn/a,1.5,true,x,\n2,NaN,False,1,NA\n-3,4,null,,n/a\n")
+    got = tables.read_csv(spark, str(path))
+    assert dict(got.dtypes) == {"i": "bigint", "d": "double", "b": "boolean", "s": "string", "n": "string"}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(None, 1.5, True, "x", None), (2, None, False, "1", None), (-3, 4.0, None, None, None)], key=str)
+
+
+def test_rejected_records(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "no json"), (2, None), (3, "[1]"), (4, "{}"), (5, '{"status_code": 9')], "k int, value string")
+    got = {r.k: r for r in records.parse_records(rows, keep=("k",), invalid="null").collect()}
+    assert {k for k, r in got.items() if r.rejected is not None} == {1, 2, 3, 5}
+    assert all(got[k][c] is None for k in (1, 2, 3, 5) for c in records.RECORD_DEFAULTS)
+    assert {c: got[4][c] for c in records.RECORD_DEFAULTS} == records.RECORD_DEFAULTS
+    with pytest.raises(Exception, match="not a JSON object"):
+        records.parse_records(rows.where("k = 1")).collect()
+    path = tmp_path / "r.json"
+    path.write_text('{"status_code": 7}\nbroken\n')
+    read = records.read_records(spark, str(path), invalid="null").collect()
+    assert sorted(r.rejected or "" for r in read) == ["", "broken"]
 
 
 @pytest.mark.parametrize("format", ["csv", "parquet"])
