@@ -112,10 +112,15 @@ LAST_LABELS = ("com org net edu gov mil int info biz name io dev app ai co me tv
 _BARE_AT = re.compile(
     r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]{1,63}(?:\s+dot\s+[A-Za-z0-9-]{1,63}){0,4}\s+dot\s+(?:"
     + "|".join(LAST_LABELS.split()) + r")(?![A-Za-z0-9-]))", re.I)
+# behind a name with a digit, an underscore or an inner dot, before a plain domain
+_NAMED_AT = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+-]*(?:[0-9_]|\.(?=[A-Za-z0-9]))[A-Za-z0-9._%+-]*(\s+at\s+)"
+    r"(?=(?:[A-Za-z0-9-]{1,63}\.){1,5}(?:" + "|".join(LAST_LABELS.split()) + r")(?![A-Za-z0-9-]))", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
 _HINT = re.compile(
     r"(?:[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>])|\sdot\s|(?<![A-Za-z])(?:" + "|".join(DIGIT_WORDS)
     + r")[ ,.-]{1,2}(?:" + "|".join(DIGIT_WORDS) + r"|[0-9]|dot)", re.I)
+_AT_DOMAIN = re.compile(r"\sat\s+[A-Za-z0-9-]+\.[A-Za-z0-9]", re.I)
 
 
 class Normalised:
@@ -155,6 +160,8 @@ def normalise(text: str) -> Normalised:
         for w in _SPELLED_PART.finditer(run)
     ])
     out.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(out.text)])
+    if _AT_DOMAIN.search(out.text):
+        out.rewrite([(*m.span(1), "@") for m in _NAMED_AT.finditer(out.text)])
     for pattern, sign in ((_BRACKET_AT, "@"), (_BRACKET_DOT, "."), (_BARE_AT, "@"), (_BARE_DOT, ".")):
         out.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(out.text)])
     return out
@@ -163,7 +170,9 @@ def normalise(text: str) -> Normalised:
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and those of disguised identifiers."""
     base = detect(text)
-    if not _HINT.search(text) and (text.isascii() or not _GLYPH.search(text)):
+    if not _HINT.search(text) and not _AT_DOMAIN.search(text) and (
+        text.isascii() or not _GLYPH.search(text)
+    ):
         return base, []
     clear = normalise(text)
     taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}

@@ -67,6 +67,9 @@ def added(module, text):
 def test_disguised_personal_data_is_mapped_back():
     cases = {
         "write to john.doe [at] mail (dot) example [dot] com now": ("email", "john.doe [at] mail (dot) example [dot] com"),
+        "ask bos.42 at mail8.example.com now": ("email", "bos.42 at mail8.example.com"),
+        "ask jane_d at mail8 dot example dot com now": ("email", "jane_d at mail8 dot example dot com"),
+        "ask jane_d(at)mail8.example.com now": ("email", "jane_d(at)mail8.example.com"),
         "jane at mail dot org": ("email", "jane at mail dot org"),
         "bоb＠example.com": ("email", "bоb＠example.com"),
         "al​ice@exa​mple.com": None,
@@ -84,7 +87,7 @@ def test_disguised_personal_data_is_mapped_back():
 
 def test_clean_prose_has_no_disguises():
     for text in ["look at the dot on the i. At one two three we go, four five!", "meet at noon at the inn.",
-                 "Là où é è, αβγ и кот", "a [at] b", "five six seven eight nine ten", "see you at example.com"]:
+                 "Là où é è, αβγ и кот", "a [at] b", "five six seven eight nine ten", "see you at example.com", "The end. at example.com"]:
         assert pii.find(text) == (pii.detect(text), []), text
 
 
