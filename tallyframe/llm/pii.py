@@ -98,7 +98,7 @@ def _homoglyphs() -> dict[str, str]:
 
 
 HOMOGLYPHS = _homoglyphs()
-_GLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "]")
+GLYPHS = frozenset(HOMOGLYPHS)
 _NUMBER = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _SPELLED = re.compile(
     rf"(?<![A-Za-z]){_NUMBER}(?:(?:[ ]+(?:dot|point|dash)[ ]+|[ ,.-]{{1,2}})(?:{_NUMBER}|[0-9]+)(?![A-Za-z]))+", re.I)
@@ -153,7 +153,8 @@ class Normalised:
 def normalise(text: str) -> Normalised:
     """Homoglyphs, then spelled digits, then at/dot disguises."""
     out = Normalised(text)
-    out.rewrite([(m.start(), m.end(), HOMOGLYPHS[m[0]]) for m in _GLYPH.finditer(out.text)])
+    if not text.isascii():
+        out.rewrite([(i, i + 1, HOMOGLYPHS[c]) for i, c in enumerate(text) if c in GLYPHS])
     out.rewrite([
         (a + w.start(), a + w.end(), SPOKEN.get(w[0].lower(), ""))  # blanks between them go
         for a, run in [(m.start(), m[0]) for m in _SPELLED.finditer(out.text)]
@@ -171,7 +172,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and those of disguised identifiers."""
     base = detect(text)
     if not _HINT.search(text) and not _AT_DOMAIN.search(text) and (
-        text.isascii() or not _GLYPH.search(text)
+        text.isascii() or GLYPHS.isdisjoint(set(text))
     ):
         return base, []
     clear = normalise(text)
