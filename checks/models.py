@@ -112,12 +112,23 @@ WITH {ISSUES}, known AS (
 SELECT row_key, component_name, slot, slot IS NOT NULL AS seen
 FROM issues LEFT JOIN known USING (component_name)""")
 def one_hot_unseen(spark, sf_dir):
+    rows = issues(spark, sf_dir).select("row_key", "component_name")
+    code = encoding.fit_slots(rows.where("component_name NOT LIKE 'red%'"), ["component_name"])
+    slot = F.col("component_name_slot")
+    return code.transform(rows).select("row_key", "component_name", slot.alias("slot"), slot.isNotNull().alias("seen"))
+
+
+@query("one_hot_vectors", f"""
+WITH {ISSUES}, known AS (
+  SELECT component_name, CAST(row_number() OVER (ORDER BY component_name) - 1 AS BIGINT) AS slot
+  FROM (SELECT DISTINCT component_name FROM issues WHERE component_name NOT LIKE 'red%'))
+SELECT row_key, component_name, slot FROM issues LEFT JOIN known USING (component_name)""")
+def one_hot_vectors(spark, sf_dir):
+    """The same code as vectors; an unseen category is all zeros."""
     rows = issues(spark, sf_dir).select("row_key", "component_name")
     model = encoding.fit_one_hot(rows.where("component_name NOT LIKE 'red%'"), ["component_name"])
-    code = vector_to_array("component_name_code")
-    slot = F.nullif(F.array_position(code, F.lit(1.0)), F.lit(0)) - 1
-    return model.transform(rows).select("row_key", "component_name", slot.cast("bigint").alias("slot"),
-                                        (F.aggregate(code, F.lit(0.0), lambda a, v: a + v) == 1).alias("seen"))
+    slot = F.nullif(F.array_position(vector_to_array("component_name_code"), F.lit(1.0)), F.lit(0)) - 1
+    return model.transform(rows).select("row_key", "component_name", slot.cast("bigint").alias("slot"))
 
 
 @query("one_hot_names", f"""
@@ -125,8 +136,7 @@ WITH {ISSUES}
 SELECT DISTINCT 'component_name_' || component_name AS name FROM issues
 UNION SELECT DISTINCT 'product_name_' || product_name FROM issues""")
 def one_hot_names(spark, sf_dir):
-    model = encoding.fit_one_hot(issues(spark, sf_dir), ["component_name", "product_name"])
-    return spark.createDataFrame([(n,) for n in encoding.one_hot_names(model)], "name string")
+    return encoding.fit_slots(issues(spark, sf_dir), ["component_name", "product_name"]).names().select("name")
 
 
 @query("column_variance", f"WITH {ISSUES} " + " UNION ALL ".join(
@@ -149,12 +159,9 @@ passed AS (SELECT name FROM numbers WHERE v > {_THRESHOLD}::DOUBLE
 @query("variance_filter", f"WITH {_PASSED} SELECT name FROM passed")
 def variance_filter(spark, sf_dir):
     rows = issues(spark, sf_dir).select(*FEATURE_INTS, "assignee_name")
-    model = encoding.fit_one_hot(rows, ["assignee_name"])
-    vectors = VectorAssembler(inputCols=[*FEATURE_INTS, "assignee_name_code"], outputCol="features")
-    coded = vectors.transform(model.transform(rows)).select("features")
-    kept = encoding.fit_variance_filter(coded, "features", _THRESHOLD).selectedFeatures
-    names = FEATURE_INTS + encoding.one_hot_names(model)
-    return spark.createDataFrame([(names[i],) for i in kept], "name string")
+    numbers = encoding.column_variances(rows, FEATURE_INTS).where(F.col("variance") > _THRESHOLD)
+    codes = encoding.fit_slots(rows, ["assignee_name"]).passed(rows.count(), _THRESHOLD)
+    return numbers.select(F.col("column").alias("name")).unionByName(codes)
 
 
 @query("feature_code", f"WITH {_PASSED} SELECT name FROM passed")
@@ -265,16 +272,31 @@ def pca_invariants(spark, sf_dir):
             F.array(*[-F.var_samp(c) for c in names])).alias("falling"))
 
 
-@query("model_input")
-def model_input(spark, sf_dir):
+def _model_input(spark, sf_dir):
     return features.features(cleaning.clean(issues(spark, sf_dir), keep=["row_key"]), "row_key").table
 
 
+@query("model_input", f"""
+WITH {CLEAN_SQL}, sizes AS (SELECT product_name, count(*) AS n FROM clean GROUP BY 1)
+SELECT row_key, product_name, CAST(0 AS BIGINT) AS replica, true AS complete FROM clean
+UNION ALL
+SELECT 'new rows', product_name, max(n) OVER () - n, true FROM sizes""")
+def model_input(spark, sf_dir):
+    """Every given row once, and per class as many new ones as the largest class has more."""
+    table = store(_model_input(spark, sf_dir)).df
+    complete = reduce(lambda a, b: a & b, [F.col(f"pca{i}").isNotNull() for i in range(features.COMPONENTS)])
+    given = table.where("replica = 0").select("row_key", "product_name", "replica", complete.alias("complete"))
+    new = table.groupBy("product_name").agg(
+        F.lit("new rows").alias("row_key"), F.count_if(F.col("replica") > 0).alias("replica"),
+        F.bool_and(complete).alias("complete"))
+    return given.unionByName(new)
+
+
 @query("model_input_sizes", f"""
 WITH {CLEAN_SQL}, sizes AS (SELECT product_name, count(*) AS n FROM clean GROUP BY 1)
 SELECT product_name, max(n) OVER () AS n FROM sizes""")
 def model_input_sizes(spark, sf_dir):
-    return model_input(spark, sf_dir).groupBy("product_name").agg(F.count("*").alias("n"))
+    return _model_input(spark, sf_dir).groupBy("product_name").agg(F.count("*").alias("n"))
 
 
 @query("feature_lookup_clean", f"""
@@ -350,9 +372,15 @@ def _scorer(spark, sf_dir):
     return scoring.build_scorer(made, trained)
 
 
-@query("score_batch")
+@query("score_batch", f"""
+WITH {CLEAN_SQL}, combos AS (SELECT DISTINCT component_name, assignee_name FROM clean)
+SELECT row_key, c.component_name IS NOT NULL AS lookup_hit, true AS known FROM issues i LEFT JOIN combos c
+  ON lower(trim(i.component_name)) = c.component_name AND lower(trim(i.assignee_name)) = c.assignee_name""")
 def score_batch(spark, sf_dir):
-    return _scorer(spark, sf_dir).score(issues(spark, sf_dir), "row_key")
+    """Exact hits of the lookup; a prediction is one of the classes."""
+    scorer = _scorer(spark, sf_dir)
+    known = F.col("product").isin(list(scorer.pipeline.stages[-1].getLabels()))
+    return scorer.score(issues(spark, sf_dir), "row_key").select("row_key", "lookup_hit", known.alias("known"))
 
 
 @query("score_saved", f"WITH {ISSUES} SELECT row_key, true AS lookup_hit, true AS same FROM issues")
@@ -416,10 +444,15 @@ def _stream(spark, sf_dir):
     return as_issues(lines, table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))
 
 
-@query("score_stream")
+@query("score_stream", f"WITH {ISSUES} SELECT row_key, true AS same FROM issues")
 def score_stream(spark, sf_dir):
+    """Scores of the records as they arrive, next to those of the whole table."""
     scorer = _scorer(spark, sf_dir)
-    return run_available(_stream(spark, sf_dir), lambda rows: scorer.score(rows, "row_key"))
+    streamed = run_available(_stream(spark, sf_dir), lambda rows: scorer.score(rows, "row_key"))
+    batch = scorer.score(issues(spark, sf_dir), "row_key").select(
+        "row_key", F.struct("lookup_hit", "product").alias("batch"))
+    same = F.struct("lookup_hit", "product") == F.col("batch")
+    return streamed.join(batch, "row_key").select("row_key", same.alias("same"))
 
 
 _MEANS_SQL = """

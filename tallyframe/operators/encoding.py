@@ -12,6 +12,9 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import DataFrame, functions as F
 
+from tallyframe.materialize import Sized, store
+from tallyframe.operators.lookup import attach
+from tallyframe.operators.ordering import rank_rows
 from tallyframe.operators.profiling import _unpivot, frequencies
 from tallyframe.operators.quantiles import as_number
 
@@ -57,6 +60,40 @@ def one_hot_long(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> D
     return df.select(*key, F.explode(F.array_compact(cells)).alias("feature")).withColumn("value", F.lit(1))
 
 
+@dataclass(frozen=True)
+class CategorySlots:
+    """A one-hot code of any width, as a stored table: column, value, slot (from 0 in its column), n."""
+
+    columns: list[str]
+    table: Sized
+
+    def names(self) -> DataFrame:
+        """Names `column_category` of the slots."""
+        return self.table.df.select(
+            F.concat_ws("_", "column", "value").alias("name"), "column", "slot")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add `<column>_slot`; a null or unseen category has none."""
+        for c in self.columns:
+            own = self.table.df.where(F.col("column") == c).select(
+                F.col("value").alias(c), F.col("slot").alias(f"{c}_slot"))
+            df = attach(df, self.table.replace(own), [c])
+        return df
+
+    def passed(self, rows: int, threshold: float) -> DataFrame:
+        """The names of slots whose population variance exceeds `threshold`."""
+        share = F.col("n") / F.lit(float(max(1, rows)))
+        kept = self.table.df.where(share * (1 - share) > F.lit(threshold))
+        return kept.select(F.concat_ws("_", "column", "value").alias("name"))
+
+
+def fit_slots(df: DataFrame, columns: Sequence[str]) -> CategorySlots:
+    """Number the categories of each column in alphabetical order; no list reaches the driver."""
+    ranked = rank_rows(store(frequencies(df, columns)), [F.asc("value")], "_rank", ["column"])
+    return CategorySlots(list(columns), store(ranked.select(
+        "column", "value", (F.col("_rank") - 1).cast("bigint").alias("slot"), "n")))
+
+
 def _fit_codes(indexers: list, df: DataFrame, columns: list[str]):
     """Fit the encoder from the indexers' metadata; no rows are read."""
     encoder = OneHotEncoder(
@@ -66,7 +103,10 @@ def _fit_codes(indexers: list, df: DataFrame, columns: list[str]):
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> PipelineModel:
-    """One-hot code of all categories in alphabetical order.
+    """One-hot vectors of all categories in alphabetical order, for pipelines of ML stages.
+
+    Such stages keep their categories on the driver, so there is a bound to them;
+    `fit_slots` gives the same code as a table, without one.
 
     Null and unseen categories become all zeros: they are indexed into an extra
     last slot, which the encoder leaves out.
@@ -75,8 +115,8 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX
     most = frequencies(df, columns).groupBy("column").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     if most and most > max_categories:
         raise ValueError(
-            f"{most} categories in one column; use fit_features, which keeps only those "
-            "whose variance passes the threshold")
+            f"{most} categories in one column; use fit_slots, or fit_features, which keeps "
+            "only those whose variance passes the threshold")
     indexer = StringIndexer(
         inputCols=columns, outputCols=[f"{c}_index" for c in columns],
         stringOrderType="alphabetAsc", handleInvalid="keep",

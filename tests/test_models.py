@@ -15,6 +15,18 @@ from tallyframe.streaming.scoring import run_available
 SF = "/root/testdata/sf0.001"
 
 
+def test_slots_of_more_categories_than_a_driver_list(spark, bounds):
+    df = spark.range(240_000).select("id", F.format_string("c%06d", F.col("id") % 120_000).alias("c"))
+    bounds(broadcastBytes=0, singleTaskRows=50_000)
+    code = encoding.fit_slots(df.where("id % 120000 <> 7"), ["c"])
+    assert code.table.rows == 119_999
+    found = code.transform(df)
+    assert found.where("c_slot IS NULL").count() == 2
+    wrong = F.col("c_slot") != F.col("id") % 120_000 - F.when(F.col("id") % 120_000 > 7, 1).otherwise(0)
+    assert found.where(wrong).count() == 0 and found.count() == 240_000
+    assert code.passed(240_000, 0.0).count() == 119_999
+
+
 def dense(df, column):
     return np.array([r[0] for r in df.select(vector_to_array(column)).collect()])
 
