@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyframe.sources.tables import spread
+
 FEATURE_INTS = [
     "resolution_code", "status_code", "quantity_of_votes",
     "quantity_of_comments", "bug_fix_time", "severity_code",
@@ -42,4 +44,4 @@ def as_issues(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> Data
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_issues(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))
+    return as_issues(spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))

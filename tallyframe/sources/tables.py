@@ -87,6 +87,21 @@ def infer_types(texts: DataFrame) -> dict[str, str]:
     }
 
 
+#: Scan partitions up to which a table is spread: 1 GiB at most, by Spark's default of
+#: `spark.sql.files.maxPartitionBytes`.
+SMALL_PARTITIONS = 8
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a small table of few scan partitions, such as a file of one row group.
+
+    A table of more than SMALL_PARTITIONS partitions is never shuffled for it, however
+    many cores there are.
+    """
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(cores) if parts < cores and parts <= SMALL_PARTITIONS else df
+
+
 def read_table(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
     if format == "csv":
         return read_csv(spark, path, **options)

@@ -83,6 +83,14 @@ def test_streamed_records_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_only_small_tables_are_spread(spark, reports, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.spread(reports.coalesce(1)).rdd.getNumPartitions() == cores
+    assert tables.spread(wide := reports.repartition(cores + 3)) is wide
+    monkeypatch.setattr(tables, "SMALL_PARTITIONS", 2)
+    assert tables.spread(some := reports.repartition(3)) is some
+
+
 def test_scratch_paths_are_fresh_and_shared(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_folder(spark).rstrip("/"))
