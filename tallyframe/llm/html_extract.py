@@ -27,9 +27,8 @@ from tallyframe.llm import wrappers
 from tallyframe.llm.common import batch_of, bounded_batches, bring_back, save, texts
 from tallyframe.materialize import store
 
-#: Shapes of a host that one task merges, and pages whose texts vary before a text counts as fixed.
+#: Shapes of a host that one task merges.
 GROUP = 200
-LEAST_PAGES = 5
 
 
 def host_of(url: Column) -> Column:
@@ -58,7 +57,8 @@ def shapes(pages: DataFrame) -> DataFrame:
 def infer(read: DataFrame) -> DataFrame:
     """Per host: n (pages), region, fixed (JSON of its fixed texts), wrapper (JSON)."""
     votes = read.groupBy("host", "region").agg(F.sum("size").alias("size"))
-    regions = votes.groupBy("host").agg(F.max_by("region", F.struct("size", "region")).alias("region"))
+    regions = votes.groupBy("host").agg(
+        F.max_by("region", F.struct("size", "region")).alias("region"), F.sum("size").alias("size"))
     found = save(read.groupBy("host", "shape").agg(F.count("*").alias("n")), "shapes")
 
     def merge(group: pa.Table) -> pa.Table:
@@ -80,7 +80,7 @@ def infer(read: DataFrame) -> DataFrame:
         found = save(
             found.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(groups)))
             .groupBy("host", "part").applyInArrow(merge, form).select("host", "shape", "n"), "shapes")
-    joined = found.join(regions, "host").select("host", "n", "region", F.col("shape").alias("wrapper"))
+    joined = found.join(regions, "host").select("host", "n", "region", "size", F.col("shape").alias("wrapper"))
     schema = pa.schema([("host", pa.string()), ("n", pa.int64()), ("region", pa.string()),
                         ("fixed", pa.string()), ("wrapper", pa.string())])
 
@@ -89,9 +89,9 @@ def infer(read: DataFrame) -> DataFrame:
             rows = batch.to_pylist()
             yield batch_of(schema, {
                 "host": batch.column(0), "n": batch.column(1), "region": batch.column(2),
-                "fixed": [json.dumps(wrappers.fixed_texts(json.loads(r["wrapper"]), r["region"])
-                                     if r["n"] >= LEAST_PAGES else [], ensure_ascii=False) for r in rows],
-                "wrapper": batch.column(3)})
+                "fixed": [json.dumps(wrappers.fixed_texts(
+                    json.loads(r["wrapper"]), r["region"], r["size"] / r["n"]), ensure_ascii=False) for r in rows],
+                "wrapper": batch.column(4)})
 
     return save(joined.mapInArrow(
         fixed, "host string, n bigint, region string, fixed string, wrapper string"), "wrappers")

@@ -1,12 +1,14 @@
 """Pages as trees, and union-free regular expressions inferred from them.
 
 An expression is a list [label, optional, repeated, content]: content is a list of
-expressions, or for text ("#") its fixed value, None for a slot. Labels are tag names
+expressions, or for text ("#") its fixed value, the list of the values that neighbours of
+one page have, or None for a slot, whose values differ between pages. Labels are tag names
 with their class, id and role, without digits.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from difflib import SequenceMatcher
 from html import unescape
@@ -37,8 +39,10 @@ _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _CLOSERS = {name: re.compile(f"</{name}", re.I) for name in RAW}
 #: Elements nested deeper belong, for the template, to the one at this depth; their texts stay.
 DEPTH = 100
-#: Texts up to this length can be fixed parts of a template.
+#: Texts over this length stand in a template as their digest and length.
 FIXED_LENGTH = 40
+#: Pages that have more of their text in common are copies, unless their headings differ.
+COPIES = 0.8
 
 
 def label_of(name: str, attributes: str) -> str:
@@ -50,6 +54,18 @@ def label_of(name: str, attributes: str) -> str:
     return re.sub(r"[\d/]+", "", name + "".join(sorted(set(words))))
 
 
+def value_of(text: str) -> str:
+    """The text, or of a long one a 128-bit digest and its length."""
+    if len(text) <= FIXED_LENGTH and not text.startswith("\0"):
+        return text
+    digest = hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()
+    return f"\0{digest}{len(text)}"
+
+
+def length_of(value: str) -> int:
+    return int(value[33:]) if value.startswith("\0") else len(value)
+
+
 def boilerplate(label: str, in_main: bool) -> bool:
     name = re.split(r"[.#]", label, maxsplit=1)[0]
     if name == "header" and in_main:
@@ -121,7 +137,7 @@ class Page:
             self.text = []
             if text:
                 _, node, path, kept, _ = self.stack[-1]
-                node[3].append(["#", 0, 0, text if len(text) <= FIXED_LENGTH else None])
+                node[3].append(["#", 0, 0, value_of(text)])
                 self.blocks.append((path, text, kept))
 
     def region(self) -> str:
@@ -159,7 +175,7 @@ class Page:
         return "\n".join(
             text for path, text, kept in self.blocks
             if kept and (path == region or path.startswith(inside) or not region)
-            and (path, text) not in fixed)
+            and (not fixed or (path, value_of(text)) not in fixed))
 
 
 def fold(items: list) -> list:
@@ -167,7 +183,7 @@ def fold(items: list) -> list:
     out: list = []
     for item in items:
         if out and out[-1][0] == item[0]:
-            out[-1] = merge(out[-1], item)
+            out[-1] = merge(out[-1], item, one_page=True)
             out[-1][2] = 1
         else:
             out.append(item)
@@ -176,7 +192,7 @@ def fold(items: list) -> list:
         while at + 2 * width <= len(out):
             one, two = out[at:at + width], out[at + width:at + 2 * width]
             if [x[0] for x in one] == [x[0] for x in two]:
-                both = [merge(a, b) for a, b in zip(one, two, strict=True)]
+                both = [merge(a, b, one_page=True) for a, b in zip(one, two, strict=True)]
                 for x in both:
                     x[2] = 1
                 out[at:at + 2 * width] = both
@@ -185,23 +201,28 @@ def fold(items: list) -> list:
     return out
 
 
-def merge(a: list, b: list) -> list:
-    """The expression of both, which have one label: a differing text becomes a slot."""
-    if a[0] == "#":
-        return ["#", a[1] | b[1], a[2] | b[2], a[3] if a[3] == b[3] else None]
-    return [a[0], a[1] | b[1], a[2] | b[2], align(a[3], b[3])]
+def merge(a: list, b: list, one_page: bool = False) -> list:
+    """The expression of both, which have one label: a text that differs between pages becomes a slot."""
+    if a[0] != "#":
+        return [a[0], a[1] | b[1], a[2] | b[2], align(a[3], b[3], one_page)]
+    one, two = a[3], b[3]
+    if one_page and one is not None and two is not None:
+        both = [*(one if isinstance(one, list) else [one]), *(two if isinstance(two, list) else [two])]
+    else:
+        both = one if one == two else None
+    return ["#", a[1] | b[1], a[2] | b[2], both]
 
 
-def align(one: list, two: list) -> list:
+def align(one: list, two: list, one_page: bool = False) -> list:
     """Align two sequences; what only one of them has becomes optional."""
     names = [x[0] for x in one], [x[0] for x in two]
     if names[0] == names[1]:
-        return fold([merge(x, y) for x, y in zip(one, two, strict=True)])
+        return fold([merge(x, y, one_page) for x, y in zip(one, two, strict=True)])
     out = []
     matcher = SequenceMatcher(None, *names, autojunk=False)
     for kind, a, b, c, d in matcher.get_opcodes():
         if kind == "equal":
-            out += [merge(x, y) for x, y in zip(one[a:b], two[c:d], strict=True)]
+            out += [merge(x, y, one_page) for x, y in zip(one[a:b], two[c:d], strict=True)]
         else:
             out += [[x[0], 1, x[2], x[3]] for x in one[a:b] + two[c:d]]
     return fold(out)
@@ -214,24 +235,31 @@ def shape(node: list) -> list:
     return [node[0], node[1], node[2], fold([shape(child) for child in node[3]])]
 
 
-def fixed_texts(wrapper: list, region: str) -> list[tuple[str, str]]:
-    """(path, text) of the required, unrepeated texts of a template inside its article region.
+def fixed_texts(wrapper: list, region: str, size: float) -> list[tuple[str, str]]:
+    """(path, value) of the required texts of a template inside its article region.
 
-    None if nothing there varies: then the pages are copies, not a template.
+    None if nothing there varies between pages, or, under equal headings, little of the
+    `size` characters that a page has on average: then the pages are copies, not a template.
     """
-    found, slots = [], [0]
+    found: list[tuple[str, str]] = []
+    slots, titles, equal = [0], [0], [0]
 
-    def walk(node: list, path: str, required: bool) -> None:
+    def walk(node: list, path: str, required: bool, main: bool) -> None:
         for child in node[3]:
-            needed = required and not child[1] and not child[2]
-            if child[0] == "#":
-                if path == region or path.startswith(region + "/"):
-                    if child[3] is None:
-                        slots[0] += 1
-                    elif needed and not re.match(r"h\d", path.rpartition("/")[2]):
-                        found.append((path, child[3]))
-            else:
-                walk(child, f"{path}/{child[0]}", needed)
+            needed = required and not child[1]
+            if child[0] != "#":
+                if not boilerplate(child[0], main):
+                    walk(child, f"{path}/{child[0]}", needed, main or MAIN.search(child[0]) is not None)
+            elif path == region or path.startswith(region + "/"):
+                heading = re.match(r"h\d", path.rpartition("/")[2])
+                if child[3] is None:
+                    slots[0] += 1
+                    titles[0] += bool(heading)
+                elif needed:
+                    values = child[3] if isinstance(child[3], list) else [child[3]]
+                    equal[0] += sum(map(length_of, values))
+                    if not heading:
+                        found.extend((path, value) for value in values)
 
-    walk(wrapper, "", True)
-    return found if slots[0] else []
+    walk(wrapper, "", True, False)
+    return found if titles[0] or slots[0] and equal[0] <= COPIES * size else []
