@@ -6,12 +6,13 @@ slot, tags that only some pages have become optional, equal neighbours become re
 groups. Pages of equal shape are merged by Spark before that, and the shapes of a host
 are merged in groups of at most GROUP, round by round, so that a host of any number of
 pages is never gathered. The host's article region is the path that most of its text
-votes for; from a page's blocks there the fixed texts of the template are left out.
+votes for; the texts of the template that are fixed there are left out of its pages.
 
 The article is the region without menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments, known by tag or by class, id and role.
-Blocks are the texts between block-level tags. A page without its host's region
-uses its own. Null or empty html gives an empty text; pages with a null url form a
+Of a page with main elements it is what these hold. A page's own region holds all of
+these blocks, so its host's region takes nothing from it. Blocks are the texts between
+block-level tags. Null or empty html gives an empty text; pages with a null url form a
 host of their own; repeated rows are extracted each; other columns are ignored.
 """
 
@@ -47,7 +48,7 @@ def shapes(pages: DataFrame) -> DataFrame:
                 region = page.region()
                 made.append(json.dumps(wrappers.shape(page.tree), ensure_ascii=False))
                 regions.append(region)
-                sizes.append(len(page.article(region, set())))
+                sizes.append(len(page.article()))
             yield batch_of(schema, {"host": batch.column(0), "shape": made, "region": regions, "size": sizes})
 
     return pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
@@ -102,7 +103,7 @@ def extract(pages: DataFrame) -> DataFrame:
     bounded_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     inferred = infer(save(shapes(pages), "page-shapes"))
-    plans = store(inferred.select("host", "n", "region", "fixed"))
+    plans = store(inferred.select("host", "n", "fixed"))
     rows = pages.withColumn("host", host_of(F.col("url")))
     if plans.broadcastable:
         planned = rows.join(F.broadcast(plans.df.drop("n")), "host", "left")
@@ -114,15 +115,12 @@ def extract(pages: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for html, region, fixed in zip(
-                texts(batch, "html"), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True,
-            ):
+            for html, fixed in zip(texts(batch, "html"), batch.column(3).to_pylist(), strict=True):
                 page = wrappers.Page(html.decode())
                 drop = {tuple(x) for x in json.loads(fixed or "[]")}
-                text = page.article(region or "", drop) if region or not page.blocks else ""
-                found.append(text or page.article(page.region(), set()))
+                found.append(page.article(drop) or page.article())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
-    done = planned.select("page_id", "url", "html", "region", "fixed").mapInArrow(cut, schema)
+    done = planned.select("page_id", "url", "html", "fixed").mapInArrow(cut, schema)
     return done.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -73,15 +73,28 @@ def boilerplate(label: str, in_main: bool) -> bool:
     return name in BOILERPLATE or MARKED.search(label[len(name):]) is not None
 
 
+def common(paths: list[str]) -> str:
+    """The path of the lowest element above all."""
+    first = paths[0].split("/") if paths else []
+    for path in paths[1:]:
+        parts = path.split("/")
+        first = first[:next((i for i, (x, y) in enumerate(zip(first, parts)) if x != y), min(len(first), len(parts)))]
+    return "/".join(first)
+
+
 class Page:
-    """The tree of a page, and its text blocks as (path, text, kept): kept outside boilerplate."""
+    """The tree of a page, and its text blocks as (path, text, kept).
+
+    Kept are the blocks in main elements outside boilerplate; without any, all outside it.
+    """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, str, bool]] = []
-        self.mains: list[str] = []
+        self.mains: set[str] = set()
+        self._in_main: list[bool] = []
         root = ["", 0, 0, []]
-        # open elements: name, node, path, outside boilerplate, inside a main element
-        self.stack = [("", root, "", True, False)]
+        # open elements: name, node, path, outside boilerplate, path of the main element
+        self.stack = [("", root, "", True, None)]
         self.text: list[str] = []
         at, n = 0, len(html)
         while at < n:
@@ -96,6 +109,9 @@ class Page:
                 at = self._tag(html, token, at)
         self._flush()
         self.tree = root
+        if self.mains:
+            self.blocks = [(path, text, kept and main)
+                           for (path, text, kept), main in zip(self.blocks, self._in_main, strict=True)]
 
     def _tag(self, html: str, token: re.Match, at: int) -> int:
         closing, name = token[1], token[2].lower()
@@ -123,10 +139,9 @@ class Page:
             parent[3].append(node)
         else:
             node = parent
-        kept = kept and name != "head" and not boilerplate(label, main)
-        if MAIN.search(label) and kept and not main:
-            self.mains.append(path)
-            main = True
+        kept = kept and name != "head" and not boilerplate(label, main is not None)
+        if MAIN.search(label) and kept and main is None:
+            main = path
         if name not in VOID:
             self.stack.append((name, node, path, kept, main))
         return at
@@ -136,46 +151,27 @@ class Page:
             text = " ".join(unescape("".join(self.text)).split())
             self.text = []
             if text:
-                _, node, path, kept, _ = self.stack[-1]
+                _, node, path, kept, main = self.stack[-1]
                 node[3].append(["#", 0, 0, value_of(text)])
                 self.blocks.append((path, text, kept))
+                self._in_main.append(main is not None)
+                if kept and main is not None:
+                    self.mains.add(main)
 
     def region(self) -> str:
-        """Path of the element that holds the article: a main element, or the one where most text is.
-
-        From the root, the walk goes on into a child while it holds over 60 % of the
-        text outside boilerplate.
-        """
-        own: dict[str, int] = {}
-        for path, text, kept in self.blocks:
-            if kept:
-                own[path] = own.get(path, 0) + len(text)
-        total = sum(own.values())
-        sizes: dict[str, int] = {}
-        for path, size in own.items():
-            while True:
-                sizes[path] = sizes.get(path, 0) + size
-                if not path:
-                    break
-                path = path.rpartition("/")[0]
-        mains = [m for m in self.mains if sizes.get(m, 0)]
-        if mains:
-            return max(mains, key=lambda m: (sizes[m], m))
-        best = ""
-        for path in sorted(sizes, key=lambda p: p.count("/")):
-            if path.rpartition("/")[0] == best and path and sizes[path] > 0.6 * total:
-                if path.rpartition("/")[2].split(".")[0] in ("p", "li", "td", "h1"):
-                    break
-                best = path
-        return best
-
-    def article(self, region: str, fixed: set) -> str:
-        """The blocks below `region`, without the texts that are fixed parts of the template."""
-        inside = region + "/"
+        """Path of the lowest element that holds all kept blocks, or all main elements with text."""
+        if self.mains:
+            return common(sorted(self.mains))
+        path = common(sorted({path for path, _, kept in self.blocks if kept}))
+        while re.match(r"(?:p|li|td|h\d)(?:$|[.#])", path.rpartition("/")[2]):
+            path = path.rpartition("/")[0]
+        return path
+
+    def article(self, fixed: set | frozenset = frozenset()) -> str:
+        """The kept blocks, without the texts that are fixed parts of the template."""
         return "\n".join(
             text for path, text, kept in self.blocks
-            if kept and (path == region or path.startswith(inside) or not region)
-            and (not fixed or (path, value_of(text)) not in fixed))
+            if kept and (not fixed or (path, value_of(text)) not in fixed))
 
 
 def fold(items: list) -> list:

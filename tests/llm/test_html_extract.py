@@ -17,3 +17,17 @@ def test_long_texts_are_aligned(spark):
     assert all(long * 3 in text for text in extracted(spark, near))
     made = [f"<article><h1>T{i}</h1><p>Words of {i}</p><p>More of {i}</p><div>{long}</div></article>" for i in range(2)]
     assert extracted(spark, made) == [f"T{i}\nWords of {i}\nMore of {i}" for i in range(2)]
+
+
+def test_no_part_of_an_article_is_left_out(spark):
+    beside = [f"<body><h1>Title {i}</h1><div class=content><p>Words {i} " + "w " * 99 + "</p></div></body>" for i in range(3)]
+    assert all(f"Title {i}\nWords {i}" in text for i, text in enumerate(extracted(spark, beside)))
+    parts = [f"<body><div class=part-a><p>{'a' * 90}{i}</p></div><div class=part-b><p>{'b' * 50}{i}</p></div></body>"
+             for i in range(3)]
+    other = "<body><div class=content><p>Teaser</p></div><div class=story><p>The article</p></div></body>"
+    assert extracted(spark, [*parts, *beside, other]) == [
+        *[f"{'a' * 90}{i}\n{'b' * 50}{i}" for i in range(3)],
+        *[f"Title {i}\nWords {i} " + " ".join("w" * 99) for i in range(3)], "Teaser\nThe article"]
+    mains = [f"<body><p>Side<article class=one><p>First {i}</article><article class=two><p>Second {i} longer</article></body>"
+             for i in range(2)]
+    assert extracted(spark, mains) == [f"First {i}\nSecond {i} longer" for i in range(2)]
