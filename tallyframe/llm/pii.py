@@ -5,7 +5,7 @@ text and keep, for every character they write, the source span it came from:
 homoglyphs (look-alike letters, other scripts' digits, invisible characters), spelled
 digits, and at/dot disguises. The same detectors run over the result, and a find is
 mapped back to the source characters from its first to its last one. Finds without a
-rewritten character are base spans already; finds that meet a base span of their kind
+rewritten character are base spans already; finds inside a base span of their kind
 are left out. Null texts are empty.
 """
 
@@ -183,7 +183,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     for kind, a, b in detect(clear.text):
         if any(clear.changed[a:b]):
             start, end = clear.source(a, b)
-            if all(end <= x or y <= start for x, y in taken[kind]):
+            if not any(x <= start and end <= y for x, y in taken[kind]):
                 added.append((kind, start, end))
     return base, added
 
