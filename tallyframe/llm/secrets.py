@@ -41,8 +41,10 @@ NAME_SCORES = {
 PLACEHOLDERS = re.compile(
     r"^(?:x+|\*+|\.+|-+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|changeme|example|placeholder|none|null|true|false|"
     r"undefined|todo|your.*|my.*|test|password|secret|token)$", re.I)
-_SENSITIVE = re.compile(r"passw|pwd|passphrase|secret|token|api[_-]?key|credential|private[_-]?key|"
-                        r"access[_-]?key|auth|bearer|signing[_-]?key|encryption[_-]?key", re.I)
+# The letters of any scored name, with what may stand between them in a name.
+_SENSITIVE = re.compile("|".join(
+    r"[^A-Za-z\s]*".join(name) for name in NAME_SCORES
+    if not any(other != name and other in name for other in NAME_SCORES)), re.I | re.A)
 
 _LEX = re.compile(
     r"\"(?P<dq>(?:[^\"\\\n]|\\.)*)\"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|`(?P<bq>[^`\n]*)`"

@@ -1,0 +1,23 @@
+"""Names and literals of secrets that a pre-filter or a base span may hide."""
+
+import random
+
+from tallyframe.llm import secrets
+
+
+def added(text):
+    return [text[a:b] for _, a, b in secrets.find(text)[1]]
+
+
+def test_every_scored_name_passes_the_filter():
+    value = "Xy7!kq92Lm"
+    for text in (f'DB_PASS="{value}"', f"fs.s3a.access.key = {value}", f"api.key: {value}", f"private.key={value}",
+                 f"signing.key={value}", f'access__key = "{value}"'):
+        assert added(text) == [value], text
+    random.seed(5)
+    for name in secrets.NAME_SCORES:
+        for _ in range(300):
+            cut = random.randrange(len(name))
+            sign = random.choice(["", "_", "-", ".", "$", "__", "_.", "-$"])
+            made = name[:cut] + sign + random.choice([str, str.title, str.upper])(name[cut:])
+            assert not secrets.name_score(made) or secrets._SENSITIVE.search(made), made
