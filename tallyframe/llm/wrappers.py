@@ -18,7 +18,11 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q "
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title template noscript iframe svg select object".split())
+RAW = set("script style textarea title template noscript iframe svg select".split())
+#: Those of them that take the rest of a page when their end tag is missing.
+ENDLESS = set("script style textarea".split())
+#: Elements whose own class, id and role say nothing about the article in them.
+WHOLE = set("html body main article".split())
 BOILERPLATE = set(
     "nav header footer aside form button menu dialog fieldset legend option script style".split())
 #: Open elements that a tag ends without an end tag of their own, beside p.
@@ -36,7 +40,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
     re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_CLOSERS = {name: re.compile(f"</{name}", re.I) for name in RAW}
+_CLOSERS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 #: Elements nested deeper belong, for the template, to the one at this depth; their texts stay.
 DEPTH = 100
 #: Texts over this length stand in a template as their digest and length.
@@ -70,7 +74,7 @@ def boilerplate(label: str, in_main: bool) -> bool:
     name = re.split(r"[.#]", label, maxsplit=1)[0]
     if name == "header" and in_main:
         return False
-    return name in BOILERPLATE or MARKED.search(label[len(name):]) is not None
+    return name in BOILERPLATE or name not in WHOLE and MARKED.search(label[len(name):]) is not None
 
 
 def common(paths: list[str]) -> str:
@@ -85,16 +89,20 @@ def common(paths: list[str]) -> str:
 class Page:
     """The tree of a page, and its text blocks as (path, text, kept).
 
-    Kept are the blocks in main elements outside boilerplate; without any, all outside it.
+    Kept are the blocks in main elements outside boilerplate; without any, all outside it;
+    without any of these, all outside elements that are boilerplate by their tag.
     """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, str, bool]] = []
         self.mains: set[str] = set()
         self._in_main: list[bool] = []
+        self._by_tag: list[bool] = []
+        self._no_end: set[str] = set()
         root = ["", 0, 0, []]
-        # open elements: name, node, path, outside boilerplate, path of the main element
-        self.stack = [("", root, "", True, None)]
+        # open elements: name, node, path, outside boilerplate, path of the main element,
+        # outside boilerplate by tags alone
+        self.stack = [("", root, "", True, None, True)]
         self.text: list[str] = []
         at, n = 0, len(html)
         while at < n:
@@ -112,6 +120,9 @@ class Page:
         if self.mains:
             self.blocks = [(path, text, kept and main)
                            for (path, text, kept), main in zip(self.blocks, self._in_main, strict=True)]
+        elif not any(kept for _, _, kept in self.blocks):
+            self.blocks = [(path, text, by_tag)
+                           for (path, text, _), by_tag in zip(self.blocks, self._by_tag, strict=True)]
 
     def _tag(self, html: str, token: re.Match, at: int) -> int:
         closing, name = token[1], token[2].lower()
@@ -130,20 +141,26 @@ class Page:
         while self.stack[-1][0] == "p" or self.stack[-1][0] in ended:
             self.stack.pop()
         if name in RAW:
-            close = _CLOSERS[name].search(html, at)
-            return close.start() if close else len(html)
+            if name == "svg" and token[3].endswith("/"):
+                return at
+            close = None if name in self._no_end else _CLOSERS[name].search(html, at)
+            if close:
+                return close.start()
+            self._no_end.add(name)
+            return len(html) if name in ENDLESS else at
         label = label_of(name, token[3])
-        _, parent, path, kept, main = self.stack[-1]
+        _, parent, path, kept, main, by_tag = self.stack[-1]
         if len(self.stack) < DEPTH:
             node, path = [label, 0, 0, []], f"{path}/{label}"
             parent[3].append(node)
         else:
             node = parent
         kept = kept and name != "head" and not boilerplate(label, main is not None)
+        by_tag = by_tag and name != "head" and not boilerplate(name, main is not None)
         if MAIN.search(label) and kept and main is None:
             main = path
         if name not in VOID:
-            self.stack.append((name, node, path, kept, main))
+            self.stack.append((name, node, path, kept, main, by_tag))
         return at
 
     def _flush(self) -> None:
@@ -151,10 +168,11 @@ class Page:
             text = " ".join(unescape("".join(self.text)).split())
             self.text = []
             if text:
-                _, node, path, kept, main = self.stack[-1]
+                _, node, path, kept, main, by_tag = self.stack[-1]
                 node[3].append(["#", 0, 0, value_of(text)])
                 self.blocks.append((path, text, kept))
                 self._in_main.append(main is not None)
+                self._by_tag.append(by_tag)
                 if kept and main is not None:
                     self.mains.add(main)
 

@@ -1,6 +1,6 @@
 """Extraction of pages whose layouts lose text easily."""
 
-from tallyframe.llm import html_extract
+from tallyframe.llm import html_extract, wrappers
 
 
 def extracted(spark, pages, host="h"):
@@ -31,3 +31,19 @@ def test_no_part_of_an_article_is_left_out(spark):
     mains = [f"<body><p>Side<article class=one><p>First {i}</article><article class=two><p>Second {i} longer</article></body>"
              for i in range(2)]
     assert extracted(spark, mains) == [f"First {i}\nSecond {i} longer" for i in range(2)]
+
+
+def test_no_tag_or_class_takes_the_whole_page():
+    cases = {
+        "<body><svg viewBox='0 0 1 1'/><p>Words</p><svg><path/><text>no</text></svg><p>More</p></body>": "Words\nMore",
+        "<p>One</p><iframe src=x><p>Two</p><select><p>Three</p>": "One\nTwo\nThree",
+        "<p>One</p><script>var a = '<p>no</p>'": "One", "<p>One</p><textarea><p>no</p>": "One",
+        "<p>One</p><object data=x><param name=a value=b><p>Fallback</p></object><p>Two</p>": "One\nFallback\nTwo",
+        "<body class='single has-sidebar sidebar'><p>Words</p></body>": "Words",
+        "<html class=nav id=search><article class='post comments'><p>Words</p></article></html>": "Words",
+        "<body><div class=widget><p>Words</p><nav>no</nav></div></body>": "Words",
+        "<body><p>Words</p><div class=widget><p>no</p></div></body>": "Words",
+    }
+    for page, text in cases.items():
+        assert wrappers.Page(page).article() == text, page
+    assert wrappers.Page("<svg>" * 20_000 + "<p>end</p>").article() == "end"
