@@ -6,7 +6,7 @@ into names, literals and operators and parses name-literal pairs: assignments
 attributes and elements, and concatenations of literals. Names that are assigned other
 names pass constants on, in any order. A literal is a secret if a name that reaches it
 is sensitive and the literal looks like a value rather than prose or a placeholder;
-its span is that of the literal, of kind `literal`. Literals that meet a base span are
+its span is that of the literal, of kind `literal`. Literals inside a base span are
 left out. Null texts are empty.
 """
 
@@ -176,8 +176,8 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         for value, a, b in values:
             # a bare name is a constant's name, not a value
             known = value in literals or value in names
-            if not known and strength * value_score(value) >= THRESHOLD and all(
-                b <= x or y <= a for x, y in taken
+            if not known and strength * value_score(value) >= THRESHOLD and not any(
+                x <= a and b <= y for x, y in taken
             ):
                 added.add(("literal", a, b))
     return base, sorted(added, key=lambda s: s[1:])
