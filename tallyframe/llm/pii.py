@@ -100,12 +100,14 @@ def _homoglyphs() -> dict[str, str]:
 HOMOGLYPHS = _homoglyphs()
 GLYPHS = frozenset(HOMOGLYPHS)
 _NUMBER = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_SPELLED = re.compile(
-    rf"(?<![A-Za-z]){_NUMBER}(?:(?:[ ]+(?:dot|point|dash)[ ]+|[ ,.-]{{1,2}})(?:{_NUMBER}|[0-9]+)(?![A-Za-z]))+", re.I)
+_JOINED = rf"(?:[ ]+(?:dot|point|dash)[ ]+|[ ,.-]{{1,2}})(?:{_NUMBER}|[0-9]+)(?![A-Za-z])"
+_SPELLED = re.compile(rf"(?<![A-Za-z]){_NUMBER}(?:{_JOINED})+", re.I)
 _SPELLED_PART = re.compile(rf"{_NUMBER}|dot|point|dash|[ ,]+", re.I)
 _PLUS = re.compile(r"(?<![A-Za-z])plus\s+(?=[0-9])", re.I)
-_BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
-_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|punto|point|\.)\s*[\])}>]\s*", re.I)
+_AT_SIGN = r"[\[({<]\s*(?:at|@)\s*[\])}>]"
+_DOT_SIGN = r"[\[({<]\s*(?:dot|punkt|punto|point|\.)\s*[\])}>]"
+_BRACKET_AT = re.compile(rf"\s*{_AT_SIGN}\s*", re.I)
+_BRACKET_DOT = re.compile(rf"\s*{_DOT_SIGN}\s*", re.I)
 # Last labels that let a bare `at` and `dot` count.
 LAST_LABELS = ("com org net edu gov mil int info biz name io dev app ai co me tv eu uk us ca de fr "
                "es it nl at ch pl se no be pt ru cn jp kr in br mx au nz example test invalid")
@@ -117,10 +119,11 @@ _NAMED_AT = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+-]*(?:[0-9_]|\.(?=[A-Za-z0-9]))[A-Za-z0-9._%+-]*(\s+at\s+)"
     r"(?=(?:[A-Za-z0-9-]{1,63}\.){1,5}(?:" + "|".join(LAST_LABELS.split()) + r")(?![A-Za-z0-9-]))", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
+# One of these is in every ASCII text that a pattern above matches: its parts without
+# the blanks around them; _BARE_AT and _BARE_DOT need a bare `dot`, _NAMED_AT an _AT_DOMAIN.
 _HINT = re.compile(
-    r"(?:[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>])|\sdot\s|(?<![A-Za-z])(?:" + "|".join(DIGIT_WORDS)
-    + r")[ ,.-]{1,2}(?:" + "|".join(DIGIT_WORDS) + r"|[0-9]|dot)", re.I)
-_AT_DOMAIN = re.compile(r"\sat\s+[A-Za-z0-9-]+\.[A-Za-z0-9]", re.I)
+    rf"{_AT_SIGN}|{_DOT_SIGN}|\sdot\s|(?<![A-Za-z])(?:{_NUMBER}{_JOINED}|{_PLUS.pattern.partition(')')[2]})", re.I)
+_AT_DOMAIN = re.compile(r"\sat\s+[A-Za-z0-9-]+\.[A-Za-z0-9-]", re.I)
 
 
 class Normalised:
@@ -168,12 +171,16 @@ def normalise(text: str) -> Normalised:
     return out
 
 
+def may_hide(text: str) -> bool:
+    """Whether `normalise` may change the text."""
+    return bool(_HINT.search(text) or _AT_DOMAIN.search(text)) or (
+        not text.isascii() and not GLYPHS.isdisjoint(set(text)))
+
+
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and those of disguised identifiers."""
     base = detect(text)
-    if not _HINT.search(text) and not _AT_DOMAIN.search(text) and (
-        text.isascii() or GLYPHS.isdisjoint(set(text))
-    ):
+    if not may_hide(text):
         return base, []
     clear = normalise(text)
     taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
