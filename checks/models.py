@@ -311,7 +311,9 @@ def feature_lookup_clean(spark, sf_dir):
     return groupfeatures.feature_lookup(cleaning.clean(issues(spark, sf_dir)))
 
 
-_SMALL = {"max_depth": 5, "gamma": 1.0, "colsample_bytree": 0.8, "min_child_weight": 2}
+def _whole_features(spark, sf_dir):
+    """With the defaults of the job, so with grown classes."""
+    return features.features(cleaning.clean(issues(spark, sf_dir), keep=["row_key"]), "row_key")
 
 
 def _feature_table(spark, sf_dir):
@@ -334,42 +336,40 @@ SELECT row_key, product_name, true AS known,
        row_number() OVER (PARTITION BY product_name ORDER BY md5('0|' || row_key || '|0')) <= quota AS is_test
 FROM clean JOIN quotas USING (product_name)""")
 def train_predict(spark, sf_dir):
-    """The exact split; a prediction is one of the classes."""
-    trained = training.train(_feature_table(spark, sf_dir).table, trials=[_SMALL], n_estimators=10)
+    """The exact split of the given rows, not grown; a prediction is one of the classes."""
+    trained = training.train(_feature_table(spark, sf_dir).table)
     known = F.col("predicted_name").isin(list(trained.labels.labelsArray[0]))
     return trained.predictions.select("row_key", "product_name", "is_test", known.alias("known"))
 
 
 @query("train_boosted")
 def train_boosted(spark, sf_dir):
-    """Quality labels from document columns: two classes, boosted with early stopping."""
+    """Quality and toxicity from document columns: four classes, boosted with early stopping."""
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     words = F.size(F.split("text", r"\s+")).cast("double")
-    rows = docs.select("doc_id", F.col("quality").cast("double").alias("label"), F.array(
+    rows = docs.select("doc_id", (
+        2 * F.col("quality").cast("double") + F.col("toxic").cast("double")).alias("label"), F.array(
         F.col("n_chars").cast("double"), words, F.col("n_chars") / words).alias("x"))
     rows = rows.withColumn("features", array_to_vector("x"))
     split = store(sampling.stratified_split(rows.drop("features"), "label", ["doc_id"])).df
     split = split.withColumn("features", array_to_vector("x"))
-    model = trees.fit_boosted(split, 2, n_estimators=8, params={"max_depth": 3}, validation="is_test")
+    model = trees.fit_boosted(split, 4, validation="is_test")
     return model.transform(split).select("doc_id", "label", "is_test", "prediction")
 
 
 @query("hyper_search")
 def hyper_search(spark, sf_dir):
-    trials = trees.draw_trials({**trees.SEARCH_SPACE, "max_depth": trees.Range(3, 6, 1)}, trials=3)
-    trained = training.train(_feature_table(spark, sf_dir).table, trials=trials, n_estimators=4)
-    return trained.trials
+    return training.train(_whole_features(spark, sf_dir).table).trials
 
 
 @query("train_metrics")
 def train_metrics(spark, sf_dir):
-    return training.train(_feature_table(spark, sf_dir).table, trials=[_SMALL], n_estimators=4).metrics
+    return training.train(_whole_features(spark, sf_dir).table).metrics
 
 
 def _scorer(spark, sf_dir):
-    made = _feature_table(spark, sf_dir)
-    trained = training.train(made.table, trials=[_SMALL], n_estimators=10)
-    return scoring.build_scorer(made, trained)
+    made = _whole_features(spark, sf_dir)
+    return scoring.build_scorer(made, training.train(made.table))
 
 
 @query("score_batch", f"""
@@ -387,8 +387,8 @@ def score_batch(spark, sf_dir):
 def score_saved(spark, sf_dir):
     """Scores of the saved pipeline, loaded again, next to those of the scorer in memory."""
     raw, folder = issues(spark, sf_dir), scratch_path(spark, "scorer")
-    made = _feature_table(spark, sf_dir)
-    trained = training.train(made.table, trials=[_SMALL], n_estimators=10)
+    made = _whole_features(spark, sf_dir)
+    trained = training.train(made.table)
     scorer = scoring.build_scorer(made, trained, cleaning.learn(raw))
     scoring.save_scorer(scorer, folder)
     again = PipelineModel.load(f"{folder}/record_pipeline").transform(raw).select(
@@ -403,11 +403,12 @@ t AS (SELECT DISTINCT component_name, product_name, assignee_name FROM clean)
 SELECT n AS final_selection, n AS model_input, (SELECT count(*) FROM t) AS feature_lookup,
        (SELECT count(DISTINCT (component_name, assignee_name)) FROM clean) AS lookup_means FROM sizes""")
 def feature_job(spark, sf_dir):
-    """The job from raw reports to saved tables, whose files are read again and counted."""
+    """The job from raw reports to saved tables, whose files are read again; of the model input, given rows count."""
     folder = scratch_path(spark, "features")
-    features.run(issues(spark, sf_dir), folder, key="row_key", resample="none")
+    features.run(issues(spark, sf_dir), folder, key="row_key")
     counts = [
-        spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias(name))
+        spark.read.parquet(f"{folder}/{name}").agg(
+            (F.count_if(F.col("replica") == 0) if name == "model_input" else F.count("*")).alias(name))
         for name in ("final_selection", "model_input", "feature_lookup", "lookup_means")]
     return reduce(lambda a, b: a.join(F.broadcast(b)), counts)
 
