@@ -58,15 +58,6 @@ def row_key(doc_id, text: bytes) -> bytes:
     return hashlib.sha256(b"%s\0" % str(doc_id).encode() + text).digest()
 
 
-def with_row_key(docs: DataFrame, out: str) -> DataFrame:
-    """`row_key` computed by Spark's own functions, for any DataFrame of documents."""
-    identity = F.concat(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("None")).cast("binary"),
-        F.lit(b"\0"), F.coalesce(F.col("text"), F.lit("")).cast("binary"),
-    )
-    return docs.withColumn(out, F.unhex(F.sha2(identity, 256)))
-
-
 def bring_back(
     rows: DataFrame, groups: DataFrame, key: str, size: str, salt_by: Column, how: str = "left",
 ) -> DataFrame:

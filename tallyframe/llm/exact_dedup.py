@@ -17,11 +17,11 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.llm import bloom
 from tallyframe.llm.common import (
-    batch_of, bounded_batches, bring_back, only_columns, row_key, save, texts, with_row_key,
+    batch_of, bounded_batches, bring_back, only_columns, row_key, save, texts,
 )
 
 
@@ -70,15 +70,22 @@ def decide(docs: DataFrame) -> DataFrame:
     return straight.unionByName(grouped)
 
 
+def row_identity(text: str = "text") -> Column:
+    """`row_key` computed by Spark's own functions from the columns doc_id and `text`."""
+    return F.unhex(F.sha2(F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("None")).cast("binary"), F.lit(b"\0"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary")), 256))
+
+
 def without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of `docs` whose decision is `kept`, in all their columns.
 
-    `decisions` has row_key, rid and kept for each row. Texts of kept rows do not
-    shuffle: a Bloom filter of the dropped row keys lets them pass, and the few rows
-    it holds meet the exact list. Where rows repeat in doc_id and text, as many stay
-    as were kept.
+    `decisions` has row_key, rid and kept for each row; rows without a decision stay. Texts
+    of kept rows do not shuffle: a Bloom filter of the dropped row keys lets them pass, and
+    the few rows it holds meet the exact list. Of rows that repeat in doc_id and text, as
+    many stay as were kept: the first one by the JSON of the whole row. The given columns
+    travel in one struct, so none can clash.
     """
-    columns = docs.columns
     judged = save(
         decisions.groupBy("row_key").agg(
             F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("stay"))
@@ -86,18 +93,18 @@ def without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
         "dropped-rows",
     )
     held = bloom.build(judged, "row_key", judged.count(), repeated=False)
-    flagged = bloom.with_flag(with_row_key(docs, "_row_key"), "_row_key", held, "_maybe")
-    straight = flagged.where("NOT _maybe").select(*[F.col(f"`{c}`") for c in columns])
-    listed = judged.withColumnRenamed("row_key", "_row_key")
-    held_rows = flagged.where("_maybe")
-    clean = held_rows.join(listed, "_row_key", "left_anti").select(
-        *[F.col(f"`{c}`") for c in columns])
-    result = straight.unionByName(clean)
-    partly = listed.where("stay > 0")
+    packed = docs.select(
+        row_identity().alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"))
+    flagged = bloom.with_flag(packed, "row_key", held, "maybe")
+    held_rows = flagged.where("maybe")
+    result = flagged.where("NOT maybe").select("given").unionByName(
+        held_rows.join(judged, "row_key", "left_anti").select("given"))
+    partly = judged.where("stay > 0").select("row_key")
     if not partly.isEmpty():  # repeated rows: equal in doc_id and text
-        some = held_rows.join(partly.select("_row_key"), "_row_key").dropDuplicates(["_row_key"])
-        result = result.unionByName(some.select(*[F.col(f"`{c}`") for c in columns]))
-    return result
+        result = result.unionByName(
+            held_rows.join(partly, "row_key").groupBy("row_key")
+            .agg(F.min_by("given", F.to_json("given")).alias("given")).select("given"))
+    return result.select("given.*")
 
 
 def apply(docs: DataFrame) -> DataFrame:
