@@ -12,6 +12,8 @@ LIMITS = {
     "spark.tallyframe.broadcastBytes": 64 * 1024 * 1024,
     # Largest table that is ordered inside a single task.
     "spark.tallyframe.singleTaskRows": 1_000_000,
+    # Largest tree node whose rows go to one task, which grows the subtree.
+    "spark.tallyframe.nodeRows": 131_072,
     # Largest number of cells handed to the exact `percentile` aggregate.
     "spark.tallyframe.percentileCells": 5_000_000,
 }

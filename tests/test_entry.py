@@ -7,7 +7,7 @@ from checks.compare import canonical, oracle_rows
 SF = "/root/testdata/sf0.001"
 
 # Covered end to end by other tests, and slow.
-SLOW = {"model_input", "model_input_sizes", "hyper_search", "train_metrics", "score_batch", "score_stream", "train_predict"}
+SLOW = {"model_input", "model_input_sizes", "train_metrics"}
 
 
 def test_entry_has_rows_and_a_stable_schema(spark):

@@ -103,11 +103,11 @@ def test_boosted_three_classes_and_reload(spark, tmp_path):
         (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 == 0).alias("held"),
         ((F.col("id") % 3) * 10 + F.col("id") % 4).cast("double").alias("x"), F.lit(1.0).alias("z"))
     df = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(df)
-    model = trees.fit_boosted(df, 3, n_estimators=5, params={"max_depth": 2}, validation="held")
+    model, _ = trees.fit_boosted(df, 3, n_estimators=5, params={"max_depth": 2}, validation="held")
     predicted = model.transform(df)
     assert set(predicted.columns) == {"label", "held", "x", "z", "features", "prediction"}
     assert metrics.micro_f1(predicted, "label", "prediction").first()[0] == 1.0
-    model.write().overwrite().save(str(tmp_path / "m"))
+    PipelineModel([model]).write().overwrite().save(str(tmp_path / "m"))
     again = PipelineModel.load(str(tmp_path / "m")).transform(df)
     assert metrics.micro_f1(again, "label", "prediction").first()[0] == 1.0
 
