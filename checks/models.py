@@ -91,6 +91,40 @@ def oversample(spark, sf_dir):
                        ).withColumns({"dim": F.col("dim").cast("bigint"), "value": F.round("value", 6)})
 
 
+@query("oversample_mixed", f"""
+WITH rows AS (
+  SELECT c_custkey AS key, c_mktsegment AS label, CAST(floor(c_acctbal) AS BIGINT) AS p,
+         CAST(c_custkey % 40 AS BIGINT) AS q, CASE WHEN c_nationkey < 20 THEN c_nationkey::VARCHAR END AS c
+  FROM customer),
+sizes AS (SELECT label, count(*) AS n, max(count(*)) OVER () - count(*) AS missing FROM rows GROUP BY label),
+ranked AS (SELECT rows.*, n, missing, row_number() OVER (PARTITION BY label ORDER BY md5('0|' || key)) AS r
+           FROM rows JOIN sizes USING (label)),
+bases AS (SELECT *, missing // n + CASE WHEN r <= missing % n THEN 1 ELSE 0 END AS replicas FROM ranked),
+drawn AS (SELECT *, md5('0|' || key || '|' || replica) AS draw
+          FROM (SELECT *, unnest(range(1, replicas + 1)) AS replica FROM bases)),
+picked AS (SELECT *, CAST(floor({_UNIT.format(start=1)} * 5) AS INTEGER) + 1 AS place,
+                  {_UNIT.format(start=9)} AS u FROM drawn),
+near AS (
+  SELECT a.key, b.p AS yp, b.q AS yq, b.c AS yc, row_number() OVER (PARTITION BY a.key ORDER BY
+           ((a.p - b.p) * (a.p - b.p) + (a.q - b.q) * (a.q - b.q)
+            + CASE WHEN a.c = b.c OR coalesce(a.c, b.c) IS NULL THEN 0
+                   WHEN a.c IS NULL OR b.c IS NULL THEN 1 ELSE 2 END), b.key) AS place
+  FROM rows a JOIN rows b ON a.label = b.label AND a.key <> b.key)
+SELECT key, label, p, q, c, CAST(0 AS BIGINT) AS replica FROM rows
+UNION ALL
+SELECT key, label, CAST(trunc(p::DOUBLE + u * (yp::DOUBLE - p::DOUBLE)) AS BIGINT),
+       CAST(trunc(q::DOUBLE + u * (yq::DOUBLE - q::DOUBLE)) AS BIGINT),
+       CASE WHEN c = yc THEN c END, replica
+FROM picked JOIN near USING (key, place)""")
+def oversample_mixed(spark, sf_dir):
+    """Whole numbers and a category grown together, the mode of the feature job."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("label"),
+        F.floor("c_acctbal").cast("bigint").alias("p"), (F.col("c_custkey") % 40).cast("bigint").alias("q"),
+        F.when(F.col("c_nationkey") < 20, F.col("c_nationkey").cast("string")).alias("c"))
+    return oversampling.oversample(rows, "label", "key", ["p", "q"], ["c"])
+
+
 @query("class_growth", f"""
 WITH {ISSUES} SELECT product_name AS label, count(*) AS n, max(count(*)) OVER () - count(*) AS missing
 FROM issues GROUP BY product_name""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import ISSUES, query
+from tallyframe.materialize import store
 from tallyframe.plans.issues import issues, table
 from tallyframe.session import scratch_path
 from tallyframe.sources import records, tables
@@ -18,6 +19,20 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_csv(spark, path, docs.schema)
 
 
+@query("csv_split", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_split(spark, sf_dir):
+    """Whole documents in one CSV file that is read in slices of 64 KiB."""
+    docs = table(spark, sf_dir, "documents")
+    path = tables.write_table(docs.coalesce(1), scratch_path(spark, "csv"), "documents", "csv")
+    key = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 16))
+    try:
+        return store(tables.read_csv(spark, path, docs.schema)).df
+    finally:
+        spark.conf.set(key, usual)
+
+
 @query("parquet_roundtrip", f"WITH {ISSUES} SELECT * FROM issues")
 def parquet_roundtrip(spark, sf_dir):
     path = tables.write_table(issues(spark, sf_dir), scratch_path(spark, "parquet"), "issues")

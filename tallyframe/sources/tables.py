@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyframe.sources.csvsplit import records
+
 # Texts that stand for a missing value in a CSV file.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -45,23 +48,30 @@ def nulls_from_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> Dat
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
-    tokens: Sequence[str] = NULL_TOKENS, multiline: bool = True, invalid: str = "error",
+    tokens: Sequence[str] = NULL_TOKENS, multiline: bool | str = "split", invalid: str = "error",
 ) -> DataFrame:
     """Scan CSV with a header, which must agree with the schema.
 
     All columns are read as text, null tokens become nulls, and then types are given:
     those of the schema, or inferred in one scan. A text that does not fit the schema's
-    type raises, or becomes null with `invalid="null"`. Pass `multiline=False` for files
-    without quoted line breaks, so that one large file can be split among tasks.
+    type raises, or becomes null with `invalid="null"`. Quoted line breaks are kept and files
+    are split among tasks (`sources.csvsplit`), which takes quotes as RFC 4180 has them. With
+    `multiline=True` a file is one task, read by Spark alone; `multiline=False` is for files
+    without quoted line breaks.
     """
+    if multiline not in (True, False, "split"):
+        raise ValueError(f"unknown multiline {multiline!r}")
     if invalid not in ("error", "null"):
         raise ValueError(f"unknown invalid {invalid!r}")
-    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline)
+    split = multiline == "split"
+    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=bool(multiline))
     if schema is None:
-        frame = nulls_from_tokens(reader.csv(path), tokens)
+        frame = nulls_from_tokens(_split_csv(spark, path, sep, None) if split else reader.csv(path), tokens)
         return frame.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in infer_types(frame).items()])
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    frame = nulls_from_tokens(reader.options(enforceSchema=False).schema(texts).csv(path), tokens)
+    frame = nulls_from_tokens(
+        _split_csv(spark, path, sep, texts) if split
+        else reader.options(enforceSchema=False).schema(texts).csv(path), tokens)
     columns = []
     for field in schema.fields:
         text = F.col(f"`{field.name}`")
@@ -74,6 +84,28 @@ def read_csv(
     return frame.select(*columns)
 
 
+def _split_csv(spark: SparkSession, path: str, sep: str, texts: T.StructType | None) -> DataFrame:
+    """All columns as text; every file has the same header, which is checked."""
+    rows = records(spark, path)
+    header = rows.where("first").select("text").distinct().limit(2).collect()
+    if not header:
+        if texts is None:
+            raise ValueError(f"{path} has no header")
+        return spark.createDataFrame([], texts)
+    if len(header) > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    [names] = csv.reader([header[0].text], delimiter=sep)
+    if texts is None:
+        texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    elif names != texts.names:
+        raise ValueError(f"the header {names} differs from the columns {texts.names}")
+    # numbered, so that no two columns of a header clash
+    form = ", ".join(f"_c{i} string" for i in range(len(names)))
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true"}
+    parsed = rows.where("NOT first").select(F.from_csv("text", F.lit(form), options).alias("r"))
+    return parsed.select(*[F.col(f"r._c{i}").alias(n) for i, n in enumerate(texts.names)])
+
+
 def infer_types(texts: DataFrame) -> dict[str, str]:
     """The narrowest of bigint, double and boolean that every text of a column has, else string."""
     kinds = ("bigint", "double", "boolean")
