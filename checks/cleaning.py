@@ -172,6 +172,19 @@ def top_per_product(spark, sf_dir):
     return frequency.top_of_group(pairs, "product_name")
 
 
+_LONG = tuple(f"lower(concat({', '.join(['p_' + c for c in order] * 3)}))" for order in (
+    ("name", "type", "brand"), ("type", "brand", "name")))
+
+
+@query("similarity_long", f"""
+WITH names AS (SELECT DISTINCT {_LONG[0]} AS a, {_LONG[1]} AS b FROM part)
+SELECT a, b, {score_sql('a', 'b')} AS score FROM names""")
+def similarity_long(spark, sf_dir):
+    """Texts of several words of bits on both sides."""
+    names = table(spark, sf_dir, "part").select(F.expr(_LONG[0]).alias("a"), F.expr(_LONG[1]).alias("b")).distinct()
+    return names.select("a", "b", score(F.col("a"), F.col("b"), match_masks(F.col("b"))).alias("score"))
+
+
 @query("similarity_pairs", f"""
 WITH names AS (SELECT DISTINCT p_name, p_type FROM part)
 SELECT p_name, p_type, {score_sql('p_name', 'lower(p_type)')} AS score FROM names""")

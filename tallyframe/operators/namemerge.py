@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyframe.functions.similarity import can_exceed, match_masks, score
+from tallyframe.functions.similarity import (
+    can_exceed, character_counts, counts_can_exceed, match_masks, score,
+)
 from tallyframe.materialize import Sized, store
 from tallyframe.operators.frequency import counted, top_of_group
 from tallyframe.operators.lookup import attach, map_or_self
@@ -31,10 +33,17 @@ def block_leaders(
 
 
 def _with_masks(leaders: DataFrame) -> DataFrame:
-    return leaders.withColumn("_masks", match_masks(F.col("leader")))
+    leader = F.col("leader")
+    return leaders.withColumns({"_masks": match_masks(leader), "_leader_counts": character_counts(leader)})
 
 
-def _meet(names: DataFrame, leaders: Sized, block: str, work: int, per_name: int) -> DataFrame:
+def _with_counts(names: DataFrame, name: str) -> DataFrame:
+    return names.withColumn("_counts", character_counts(F.col(name)))
+
+
+def _meet(
+    names: DataFrame, leaders: Sized, block: str, name: str, work: int, per_name: int
+) -> DataFrame:
     """Pair each name with the leaders of its block, spread over many tasks.
 
     `work` bounds all comparisons and `per_name` those of one name. Leaders are
@@ -45,7 +54,7 @@ def _meet(names: DataFrame, leaders: Sized, block: str, work: int, per_name: int
     spark = names.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(work / PAIRS_PER_TASK))
     if leaders.broadcastable:
-        spread = names.repartition(tasks, *names.columns)
+        spread = _with_counts(names.repartition(tasks, *names.columns), name)
         return spread.join(F.broadcast(_with_masks(leaders.df)), block)
 
     parts = store(names.groupBy(block).agg(
@@ -57,7 +66,15 @@ def _meet(names: DataFrame, leaders: Sized, block: str, work: int, per_name: int
     copies = attach(_with_masks(leaders.df), parts, [block], "inner").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     ).drop("_parts")
-    return cut.repartition(tasks, block, "_part").join(copies, [block, "_part"]).drop("_part")
+    dealt = _with_counts(cut.repartition(tasks, block, "_part"), name)
+    return dealt.join(copies, [block, "_part"]).drop("_part")
+
+
+def _candidates(met: DataFrame, name: str, threshold: int) -> DataFrame:
+    """Pairs whose lengths and characters allow a score above `threshold`."""
+    a, b = F.col(name), F.col("leader")
+    counts = counts_can_exceed(a, b, F.col("_counts"), F.col("_leader_counts"), threshold)
+    return met.where(can_exceed(a, b, threshold)).where(counts | (a == b))
 
 
 def _scored(met: DataFrame, name: str, threshold: int) -> DataFrame:
@@ -66,12 +83,11 @@ def _scored(met: DataFrame, name: str, threshold: int) -> DataFrame:
     The scores are integers, so one membership test states both conditions and
     the similarity is computed once per comparison.
     """
-    a, b = F.col(name), F.col("leader")
     return (
-        met.where(can_exceed(a, b, threshold))
-        .withColumn("score", score(a, b, F.col("_masks")))
+        _candidates(met, name, threshold)
+        .withColumn("score", score(F.col(name), F.col("leader"), F.col("_masks")))
         .where(F.col("score").isin(list(range(threshold + 1, 100))))
-        .drop("_masks")
+        .drop("_masks", "_counts", "_leader_counts")
     )
 
 
@@ -88,7 +104,7 @@ def similar_pairs(
         .join(leaders.df.groupBy(block).agg(F.count("*").alias("_leaders")), block)
         .agg(F.sum(F.col("_names") * F.col("_leaders")), F.max("_leaders")).first()
     )
-    met = _meet(names, leaders, block, work[0] or 0, work[1] or 1)
+    met = _meet(names, leaders, block, name, work[0] or 0, work[1] or 1)
     return _scored(met, name, threshold).select(block, "leader", "top_n", name, "score")
 
 
@@ -118,7 +134,7 @@ def rename_map(
     while True:
         in_round = (F.col("_rank") > low) & (F.col("_rank") <= low + size)
         chunk = leaders.reduced(leaders.df.where(in_round).drop("_rank"))
-        met = _meet(names.df, chunk, block, names.rows * min(size, deepest), size)
+        met = _meet(names.df, chunk, block, name, names.rows * min(size, deepest), size)
         best = _scored(met, name, threshold).groupBy(block, name).agg(
             F.max("leader").alias("target")
         )

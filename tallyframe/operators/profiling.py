@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.materialize import store
@@ -37,17 +40,48 @@ def null_counts(df: DataFrame) -> DataFrame:
     ])
 
 
-def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows per (column, value), values as text; one pass for all columns."""
-    columns = list(columns or df.columns)
+def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per (column, value) of all rows, values as text, without missing ones."""
     cells = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), present(df, c).cast("string").alias("value"))
         for c in columns
     ]))
-    return (
-        df.select(cells.alias("e")).select("e.*").where(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count("*").alias("n"))
-    )
+    return df.select(cells.alias("e")).select("e.*").where(F.col("value").isNotNull())
+
+
+def frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows per (column, value), values as text; one pass for all columns."""
+    return _cells(df, list(columns or df.columns)).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def _with_digest(cells: DataFrame) -> DataFrame:
+    """Add 128 bits that stand for the value, so that no long text is shuffled."""
+    return cells.withColumn("digest", F.unhex(F.md5("value")))
+
+
+def digest_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per (column, digest of the value); one pass for all columns."""
+    cells = _with_digest(_cells(df, columns)).select("column", "digest")
+    return cells.groupBy("column", "digest").agg(F.count("*").alias("n"))
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per column: unique values, the most frequent one (the smallest among equals) and its rows.
+
+    Values are counted by their digests. Only rows that hold a most frequent value are looked
+    at again; where no value repeats, that value is the smallest text.
+    """
+    counts = store(digest_counts(df, columns))
+    sizes = counts.reduced(counts.df.groupBy("column").agg(
+        F.count("*").alias("unique"), F.max("n").alias("freq")))
+    repeated = store(attach(counts.df, sizes, ["column"], "inner").where(
+        (F.col("n") == F.col("freq")) & (F.col("freq") > 1)).select("column", "digest"))
+    found = attach(_with_digest(_cells(df, columns)), repeated, ["column", "digest"], "inner").groupBy(
+        "column").agg(F.min("value").alias("top"))
+    single = [r["column"] for r in sizes.df.where("freq = 1").collect()]  # columns of the table
+    if single:
+        found = found.unionByName(_cells(df, single).groupBy("column").agg(F.min("value").alias("top")))
+    return sizes.df.join(F.broadcast(found), "column").select("column", "unique", "top", "freq")
 
 
 def describe_all(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
@@ -82,12 +116,7 @@ def describe_all(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75))
         return stats.withColumns({
             "unique": F.lit(None).cast("bigint"), "top": F.lit(None).cast("string"),
             "freq": F.lit(None).cast("bigint")})
-    modes = (
-        frequencies(df, text).groupBy("column")
-        .agg(F.count("*").alias("unique"), F.min(F.struct((-F.col("n")).alias("less"), "value")).alias("m"))
-        .select("column", "unique", F.col("m.value").alias("top"), (-F.col("m.less")).alias("freq"))
-    )
-    return stats.join(F.broadcast(modes), "column", "left")
+    return stats.join(F.broadcast(modes(df, text)), "column", "left")
 
 
 def table_overview(df: DataFrame) -> DataFrame:
@@ -144,7 +173,7 @@ def profile_columns(
                        ("min", "max", "mean", "std", "skewness", "kurtosis", *names)]
         entries.append(F.struct(*fields))
     stats = _unpivot(df.agg(*aggregates), entries)
-    distinct = frequencies(df).groupBy("column").agg(F.count("*").alias("distinct"))
+    distinct = digest_counts(df, df.columns).groupBy("column").agg(F.count("*").alias("distinct"))
     return stats.join(F.broadcast(distinct), "column", "left").withColumn(
         "distinct", F.coalesce("distinct", F.lit(0)))
 
@@ -185,13 +214,45 @@ def frequent_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataF
     return top_values(frequencies(df, columns), k)
 
 
+def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float]) -> tuple[np.ndarray, ...]:
+    """Counts, sums, squares and products of all column pairs, over the rows that have both.
+
+    One scan: a task multiplies the matrix of its rows, without `centre`, with that of their
+    presence. (n, s, q, p) are square; s[a, b] and q[a, b] sum a and its square where b is present.
+    """
+    size, middle = len(columns), np.asarray(centre, float)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = np.where(there > 0, x - middle, 0.0)
+            total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["sums"])
+
+    parts = df.select(*[as_number(c).alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(local, "sums array<double>")
+    added = parts.select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"))
+    whole = np.zeros(4 * size * size)
+    for row in added.collect():  # four numbers per pair of columns
+        whole[row["at"]] = row["v"]
+    return tuple(whole.reshape(4, size, size))
+
+
 def _pairwise(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(str(i)) for i, (a, b) in enumerate(pairs)])
-    return _unpivot(row, [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(str(i)).alias(out))
-        for i, (a, b) in enumerate(pairs)
-    ])
+    """Correlation of each column pair, null without variance: two scans for any number of columns."""
+    columns = list(columns)
+    means = df.agg(*[F.avg(as_number(c)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    n, s, q, p = gram(df, columns, [m or 0.0 for m in means])
+    rows = []
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for i, j in combinations(range(len(columns)), 2):
+            count = n[i, j]
+            across = p[i, j] - s[i, j] * s[j, i] / count
+            spread = (q[i, j] - s[i, j] ** 2 / count) * (q[j, i] - s[j, i] ** 2 / count)
+            flat = count < 2 or spread <= 1e-24 * max(q[i, j] * q[j, i], 1e-300)
+            rows.append((columns[i], columns[j], None if flat else float(across / math.sqrt(spread))))
+    return df.sparkSession.createDataFrame(rows, f"column_a string, column_b string, `{out}` double")
 
 
 def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:

@@ -168,3 +168,28 @@ def test_column_helpers(reports):
     assert split_target(reports, "product_name")[1] == "product_name"
     with pytest.raises(ValueError):
         split_target(reports, "absent")
+
+
+def test_similarity_of_long_texts(spark):
+    """Two and more words of bits, with carries across all of them."""
+    source = random.Random(6)
+    rows = [("a" * n, "a" * m) for n in (62, 63, 124, 125, 300) for m in (62, 63, 124, 186, 187)]
+    for _ in range(60):
+        n, m = source.randint(55, 200), source.randint(55, 200)
+        rows.append(("".join(source.choices("abcdé", k=n)), "".join(source.choices("abcdé", k=m))))
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = df.select("a", "b", score(F.col("a"), F.col("b"), match_masks(F.col("b"))).alias("s")).collect()
+    assert all(r.s == ratio(r.a, r.b) for r in found)
+
+
+def test_characters_rule_out_pairs_of_a_tied_block(spark):
+    source = random.Random(9)
+    names = sorted({"".join(source.sample("abcdefghijklmnopqrstuvwxyz", 10)) for _ in range(120)})
+    df = spark.createDataFrame([("p", n, 2) for n in names], "block string, name string, n long")
+    pairs = namemerge.counted(df, ["block", "name"], "n", "n")
+    leaders = namemerge.store(namemerge.block_leaders(pairs, "block", "name").df)
+    met = namemerge._meet(pairs.df.select("block", "name"), leaders, "block", "name", 100, 100)
+    by_length = met.where(namemerge.can_exceed(F.col("name"), F.col("leader"), 60)).count()
+    assert namemerge._candidates(met, "name", 60).count() < 0.3 * by_length == 0.3 * len(names) ** 2
+    found = {(r.leader, r.name) for r in namemerge.similar_pairs(df, "block", "name", weight="n").collect()}
+    assert found == {(a, b) for a in names for b in names if 60 < ratio(a, b) < 100}
