@@ -20,8 +20,9 @@ from tallyframe.operators.boosting import PATIENCE
 from tallyframe.plans import cleaning, features, scoring, training
 from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
 from tallyframe.session import scratch_path
+from tallyframe.sources import records
 from tallyframe.sources.tables import read_table, write_table
-from tallyframe.streaming.scoring import run_available
+from tallyframe.streaming.scoring import run_available, start_with_rejects
 
 _QUOTAS = """
 sizes AS (SELECT product_name, count(*) AS n FROM issues GROUP BY 1),
@@ -507,6 +508,29 @@ def score_stream(spark, sf_dir):
     return streamed.join(batch, "row_key").select("row_key", same.alias("same"))
 
 
+@query("stream_rejects", f"""
+WITH {ISSUES}
+SELECT row_key, resolution_code > 2 AS scored, CASE WHEN resolution_code > 2 THEN component_name END AS component_name,
+       CASE WHEN resolution_code > 2 THEN status_code + 1 END AS next_code,
+       CASE WHEN resolution_code = 1 THEN 'no json' WHEN resolution_code = 2 THEN 'null' END AS rejected FROM issues""")
+def stream_rejects(spark, sf_dir):
+    """A stream of texts in two sinks: records, and texts that are none."""
+    text = F.when(F.col("resolution_code") == 1, "no json").when(
+        F.col("resolution_code") > 2, F.to_json(F.struct("component_name", "status_code")))
+    parsed = records.parse_records(
+        _stream(spark, sf_dir).select("row_key", text.alias("value")), keep=("row_key",), invalid="null")
+    output, rejected = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
+    start_with_rejects(
+        parsed, lambda rows: rows.select("row_key", "component_name", (F.col("status_code") + 1).alias("next_code")),
+        output, rejected, scratch_path(spark, "progress")).awaitTermination()
+    return spark.read.parquet(output).select(
+        "row_key", F.lit(True).alias("scored"), "component_name", "next_code",
+        F.lit(None).cast("string").alias("rejected"),
+    ).unionByName(spark.read.parquet(rejected).select(
+        "row_key", F.lit(False).alias("scored"), F.lit(None).cast("string").alias("component_name"),
+        F.lit(None).cast("bigint").alias("next_code"), "rejected"))
+
+
 _MEANS_SQL = """
 , f AS (SELECT component_name, assignee_name,
   count(*) OVER (PARTITION BY product_name, component_name) AS n_components,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import scratch_path, shared_folder
 from tallyframe.sources import records, tables
-from tallyframe.streaming.scoring import run_available, stream_records
+from tallyframe.streaming.scoring import run_available, start_with_rejects, stream_records, write_batch
 
 
 def test_csv_quirks(spark, tmp_path):
@@ -83,6 +83,34 @@ def test_streamed_records_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_rejected_records_of_a_stream(spark, tmp_path):
+    """Two sinks; a batch that is written again adds nothing, and a restart goes on."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "0.json").write_text('{"component_name": "a"}\nbroken\n')
+    keep = {"output": f"{out}/scored", "rejected": f"{out}/rejected"}
+
+    def run():
+        stream = stream_records(spark, str(source), max_files=1, invalid="null")
+        start_with_rejects(stream, lambda rows: rows.select("component_name"), progress=f"{out}/p", **keep).awaitTermination()
+
+    def found():
+        return (sorted(r.component_name for r in spark.read.parquet(keep["output"]).collect()),
+                sorted(r.rejected for r in spark.read.parquet(keep["rejected"]).collect()))
+
+    run()
+    assert found() == (["a"], ["broken"])
+    batch = records.read_records(spark, str(source), invalid="null")
+    write_batch(batch, 0, lambda rows: rows.select("component_name"), **keep)
+    run()
+    assert found() == (["a"], ["broken"])
+    (source / "1.json").write_text('[1]\n{"component_name": "b"}\n{"component_name": "c"}\n')
+    run()
+    assert found()[0] == ["a", "b", "c"] and len(found()[1]) == 2
+    with pytest.raises(ValueError, match="not a stream"):
+        start_with_rejects(batch, lambda rows: rows, progress=f"{out}/q", **keep)
+
+
 def test_only_small_tables_are_spread(spark, reports, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert tables.spread(reports.coalesce(1)).rdd.getNumPartitions() == cores
