@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -13,6 +15,19 @@ from tallyframe.llm.common import batch_of, bounded_batches, texts
 Span = tuple[str, int, int]
 
 
+class Covered:
+    """Spans, asked whether one of them holds another span."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        held = sorted(spans)
+        self.starts = [a for a, _ in held]
+        self.reach = list(accumulate((b for _, b in held), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect_right(self.starts, start)
+        return at > 0 and self.reach[at - 1] >= end
+
+
 def listed(spans: Sequence[Span], kinds: Sequence[str]) -> str:
     """kind:start:end by start, then kind as in `kinds`, comma-joined."""
     ordered = sorted(spans, key=lambda s: (s[1], kinds.index(s[0]), s[2]))
