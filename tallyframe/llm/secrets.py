@@ -8,6 +8,9 @@ names pass constants on, in any order. A literal is a secret if a name that reac
 is sensitive and the literal looks like a value rather than prose or a placeholder;
 its span is that of the literal, of kind `literal`. Literals inside a base span are
 left out. Null texts are empty.
+
+Strings and chains of names take time in proportion to the length of a text. Repeated rows have
+a row each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame
 
-from tallyframe.llm.spans import Span, span_rows
+from tallyframe.llm.spans import Covered, Span, span_rows
 
 KINDS = ("assign", "access", "hex", "+literal")
 #: Least score of a literal, and least length.
@@ -46,8 +49,12 @@ _SENSITIVE = re.compile("|".join(
     r"[^A-Za-z\s]*".join(name) for name in NAME_SCORES
     if not any(other != name and other in name for other in NAME_SCORES)), re.I | re.A)
 
+_STRINGS = {
+    '"': re.compile(r"\"((?:[^\"\\\n]|\\.)*+)\""), "'": re.compile(r"'((?:[^'\\\n]|\\.)*+)'"),
+    "`": re.compile(r"`([^`\n]*+)`"),
+}
 _LEX = re.compile(
-    r"\"(?P<dq>(?:[^\"\\\n]|\\.)*)\"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|`(?P<bq>[^`\n]*)`"
+    r"(?P<quote>[\"'`])"
     r"|(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z_$][A-Za-z0-9_$]*)*)"
     r"|(?P<num>[0-9][A-Za-z0-9_]*)|(?P<op>:=|=>|==|!=|<=|>=|->|=|:|\+|,|\(|\)|\[|\]|;|<|>|\n)")
 _BARE = re.compile(r"[^\s,;\"'<>(){}\[\]]+")
@@ -94,13 +101,25 @@ class Token:
 
 
 def lex(text: str) -> list[Token]:
-    out = []
-    for m in _LEX.finditer(text):
-        kind = m.lastgroup
-        if kind in ("dq", "sq", "bq"):
-            out.append(Token("literal", m[kind], m.start(kind), m.end(kind)))
-        else:
+    """Names, numbers, signs and string literals.
+
+    A quote that is not closed on its line is passed over. So are all others of its kind up to
+    the end of the line: each was escaped on the way, and the rest after it was read just so.
+    """
+    out, at = [], 0
+    open_until = dict.fromkeys(_STRINGS, 0)
+    while m := _LEX.search(text, at):
+        kind, at = m.lastgroup, m.end()
+        if kind != "quote":
             out.append(Token(kind, m[0], m.start(), m.end()))
+        elif m.start() >= open_until[m[0]]:
+            string = _STRINGS[m[0]].match(text, m.start())
+            if string:
+                out.append(Token("literal", string[1], *string.span(1)))
+                at = string.end()
+            else:
+                end = text.find("\n", at)
+                open_until[m[0]] = len(text) if end < 0 else end
     return out
 
 
@@ -145,40 +164,46 @@ def pairs(text: str) -> tuple[dict[str, list], dict[str, set[str]]]:
     return literals, names
 
 
+def reached(literals: dict[str, list], names: dict[str, set[str]]) -> dict[str, float]:
+    """For each name the largest score of the names its literals get to, itself included.
+
+    Names are taken from the largest score down, and each gives its score to all that lead to
+    it and have none yet, so that every name is passed once.
+    """
+    before: dict[str, list[str]] = {name: [] for name in literals}
+    for source, targets in names.items():
+        before.setdefault(source, [])
+        for target in targets:
+            before.setdefault(target, []).append(source)
+    own = {name: name_score(name) for name in before}
+    found: dict[str, float] = {}
+    for name in sorted(own, key=own.get, reverse=True):
+        todo = [name]
+        while todo:
+            one = todo.pop()
+            if one not in found:
+                found[one] = own[name]
+                todo += before[one]
+    return found
+
+
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and those of literals that reach sensitive names."""
     base = base_spans(text)
     if not _SENSITIVE.search(text):
         return base, []
     literals, names = pairs(text)
-    scores: dict[str, float] = {}
-
-    def reached(name: str) -> float:
-        """The score of all names that a literal of `name` gets to."""
-        if name not in scores:
-            seen, todo, best = {name}, [name], 0.0
-            while todo:
-                one = todo.pop()
-                best = max(best, name_score(one))
-                for further in names.get(one, ()):
-                    if further not in seen:
-                        seen.add(further)
-                        todo.append(further)
-            scores[name] = best
-        return scores[name]
-
-    taken = sorted((a, b) for _, a, b in base)
+    strengths = reached(literals, names)
+    taken = Covered((a, b) for _, a, b in base)
     added = set()
     for name, values in literals.items():
-        strength = reached(name)
+        strength = strengths[name]
         if not strength:
             continue
         for value, a, b in values:
             # a bare name is a constant's name, not a value
             known = value in literals or value in names
-            if not known and strength * value_score(value) >= THRESHOLD and not any(
-                x <= a and b <= y for x, y in taken
-            ):
+            if not known and strength * value_score(value) >= THRESHOLD and not taken.holds(a, b):
                 added.add(("literal", a, b))
     return base, sorted(added, key=lambda s: s[1:])
 
