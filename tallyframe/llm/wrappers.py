@@ -3,7 +3,7 @@
 An expression is a list [label, optional, repeated, content]: content is a list of
 expressions, or for text ("#") its fixed value, the list of the values that neighbours of
 one page have, or None for a slot, whose values differ between pages. Labels are tag names
-with their class, id and role, without digits.
+with their class, id and role, without digits; elements are aligned by their `key`.
 """
 
 from __future__ import annotations
@@ -28,12 +28,18 @@ BOILERPLATE = set(
 #: Open elements that a tag ends without an end tag of their own, beside p.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}}
-#: Parts of class, id and role names that mark what is not the article.
+#: Parts of class, id and role names that mark, outside main elements, what is not the article.
 MARKED = re.compile(
-    r"(?:^|[._#-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|alerts?|"
-    r"comments?|replies|respond|disqus|sidebar|menu|nav\w*|breadcrumbs?|footer|masthead|share|"
-    r"sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|popup|modal|"
-    r"widget|copyright|toolbar|pagination|complementary|contentinfo|navigation)(?=$|[._#-])")
+    r"(?:^|[._#-])(?:ads?|adverts?|advertisements?|advertising|banner|promos?|promotions?|sponsor(?:s|ed)?|"
+    r"cookies?|consent|notices?|alerts?|comments?|replies|respond|disqus|sidebar|menu|nav|navbar|"
+    r"navigation|breadcrumbs?|footer|masthead|share|sharing|social|related|recommend(?:ed|ations?)|"
+    r"newsletter|subscribe|signup|login|search|popup|modal|widget|copyright|toolbar|pagination|"
+    r"complementary|contentinfo)(?=$|[._#-])")
+#: Whole names that mark it inside main elements too; a part of a name says nothing there.
+NAMED = set(
+    "ad ads advert adverts advertisement comments comment-list comments-area disqus_thread respond sidebar "
+    "menu nav navbar navigation breadcrumb breadcrumbs footer cookie-banner cookie-notice "
+    "newsletter-signup share-buttons complementary contentinfo".split())
 MAIN = re.compile(r"^(?:article|main)(?:$|[.#])|[.#](?:main|articlebody|article-body|post-content|entry-content)(?=$|[.#])")
 
 _TOKEN = re.compile(
@@ -41,6 +47,8 @@ _TOKEN = re.compile(
     re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _CLOSERS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
+#: Elements that hold one block, not an article.
+_SMALL = re.compile(r"(?:p|li|td|h\d)(?:$|[.#])")
 #: Elements nested deeper belong, for the template, to the one at this depth; their texts stay.
 DEPTH = 100
 #: Texts over this length stand in a template as their digest and length.
@@ -74,7 +82,13 @@ def boilerplate(label: str, in_main: bool) -> bool:
     name = re.split(r"[.#]", label, maxsplit=1)[0]
     if name == "header" and in_main:
         return False
-    return name in BOILERPLATE or name not in WHOLE and MARKED.search(label[len(name):]) is not None
+    if name in BOILERPLATE:
+        return True
+    if name in WHOLE:
+        return False
+    if in_main:
+        return not NAMED.isdisjoint(re.split(r"[.#]", label[len(name):]))
+    return MARKED.search(label[len(name):]) is not None
 
 
 def common(paths: list[str]) -> str:
@@ -181,22 +195,36 @@ class Page:
         if self.mains:
             return common(sorted(self.mains))
         path = common(sorted({path for path, _, kept in self.blocks if kept}))
-        while re.match(r"(?:p|li|td|h\d)(?:$|[.#])", path.rpartition("/")[2]):
+        while _SMALL.match(path.rpartition("/")[2]):
             path = path.rpartition("/")[0]
         return path
 
-    def article(self, fixed: set | frozenset = frozenset()) -> str:
-        """The kept blocks, without the texts that are fixed parts of the template."""
+    def article(self, fixed: set | frozenset = frozenset(), left_out: set | frozenset = frozenset()) -> str:
+        """The kept blocks, without the texts that are fixed parts of the template and those numbered `left_out`."""
         return "\n".join(
-            text for path, text, kept in self.blocks
-            if kept and (not fixed or (path, value_of(text)) not in fixed))
+            text for k, (path, text, kept) in enumerate(self.blocks)
+            if kept and k not in left_out and (not fixed or (path, value_of(text)) not in fixed))
+
+    def numbered(self) -> list:
+        """The tree as an expression whose texts are the lists of the numbers of their blocks."""
+        count = iter(range(len(self.blocks)))
+
+        def copy(node: list) -> list:
+            return ["#", 0, 0, [next(count)]] if node[0] == "#" else [*node[:3], [copy(x) for x in node[3]]]
+
+        return shape(copy(self.tree))
+
+
+def key(node: list) -> str:
+    """What is aligned: the label; of an element without a name of its own also that of its first child."""
+    return f"{node[0]}>{node[3][0][0]}" if node[0] in ("div", "section") and node[3] else node[0]
 
 
 def fold(items: list) -> list:
     """Merge neighbours of equal label, then neighbouring groups of two and three, into repeats."""
     out: list = []
     for item in items:
-        if out and out[-1][0] == item[0]:
+        if out and key(out[-1]) == key(item):
             out[-1] = merge(out[-1], item, one_page=True)
             out[-1][2] = 1
         else:
@@ -205,7 +233,7 @@ def fold(items: list) -> list:
         at = 0
         while at + 2 * width <= len(out):
             one, two = out[at:at + width], out[at + width:at + 2 * width]
-            if [x[0] for x in one] == [x[0] for x in two]:
+            if [key(x) for x in one] == [key(x) for x in two]:
                 both = [merge(a, b, one_page=True) for a, b in zip(one, two, strict=True)]
                 for x in both:
                     x[2] = 1
@@ -229,7 +257,7 @@ def merge(a: list, b: list, one_page: bool = False) -> list:
 
 def align(one: list, two: list, one_page: bool = False) -> list:
     """Align two sequences; what only one of them has becomes optional."""
-    names = [x[0] for x in one], [x[0] for x in two]
+    names = [key(x) for x in one], [key(x) for x in two]
     if names[0] == names[1]:
         return fold([merge(x, y, one_page) for x, y in zip(one, two, strict=True)])
     out = []
@@ -277,3 +305,105 @@ def fixed_texts(wrapper: list, region: str, size: float) -> list[tuple[str, str]
 
     walk(wrapper, "", True, False)
     return found if titles[0] or slots[0] and equal[0] <= COPIES * size else []
+
+
+def number(wrapper: list) -> dict[int, int]:
+    """Numbers of a wrapper's expressions in document order, by identity."""
+    found: dict[int, int] = {}
+
+    def walk(node: list) -> None:
+        found[id(node)] = len(found)
+        if node[0] != "#":
+            for child in node[3]:
+                walk(child)
+
+    walk(wrapper)
+    return found
+
+
+def read_page(wrapper: list, page: list, numbers: dict[int, int]) -> list[tuple[int, list]]:
+    """Match the expression of a page with its wrapper: (number of the slot, texts) of each text."""
+    found: list[tuple[int, list]] = []
+
+    def walk(one: list, two: list) -> None:
+        if one[0] == "#":
+            found.append((numbers[id(one)], two[3] if isinstance(two[3], list) else [two[3]]))
+            return
+        names = [key(x) for x in one[3]], [key(x) for x in two[3]]
+        if names[0] == names[1]:
+            same = [(0, 0, len(names[0]))]
+        else:
+            same = SequenceMatcher(None, *names, autojunk=False).get_matching_blocks()
+        for a, b, n in same:
+            for x, y in zip(one[3][a:a + n], two[3][b:b + n], strict=True):
+                walk(x, y)
+
+    walk(wrapper, page)
+    return found
+
+
+def template_slots(wrapper: list, sizes: dict[int, tuple[int, int]]) -> list[int]:
+    """Slots of the elements beside the article that are template for the most part.
+
+    `sizes` has, per slot, the characters of all pages and those of template texts. The
+    article's element is the lowest one, above paragraphs and the like, with over half of the text
+    that varies. Outside it an element that is template by over half of its text is template
+    as a whole, with the few texts that vary in it, such as a date or the current page.
+    """
+    numbers = number(wrapper)
+    total: dict[int, tuple[int, int]] = {}
+
+    def add(node: list) -> tuple[int, int]:
+        if node[0] == "#":
+            chars, known = sizes.get(numbers[id(node)], (0, 0))
+        else:
+            parts = [add(child) for child in node[3]]
+            chars, known = sum(x for x, _ in parts), sum(x for _, x in parts)
+        total[id(node)] = chars, known
+        return chars, known
+
+    def varying(node: list) -> int:
+        return total[id(node)][0] - total[id(node)][1]
+
+    add(wrapper)
+    home, inside = wrapper, {id(wrapper)}
+    while True:
+        next_home = next((
+            x for x in home[3] if x[0] != "#" and 2 * varying(x) > varying(wrapper) and not _SMALL.match(x[0])), None)
+        if next_home is None:
+            break
+        home = next_home
+        inside.add(id(home))
+    found: list[int] = []
+
+    def leave(node: list, whole: bool) -> None:
+        if node[0] == "#":
+            if whole:
+                found.append(numbers[id(node)])
+            return
+        chars, known = total[id(node)]
+        whole = whole or id(node) not in inside and 2 * known > chars and not re.match(r"h\d", node[0])
+        if node is not home:
+            for child in node[3]:
+                leave(child, whole)
+
+    leave(wrapper, False)
+    return found
+
+
+def template_blocks(page: Page, wrapper: list, slots: set[int], values: set[tuple[int, str]]) -> set[int]:
+    """Numbers of a page's blocks that its wrapper holds for template.
+
+    None if they are over COPIES of the page's text: then the page is a copy of others. A
+    heading stays unless its whole element is template.
+    """
+    left_out: set[int] = set()
+    for slot, blocks in read_page(wrapper, page.numbered(), number(wrapper)):
+        for k in blocks:
+            path, text, _ = page.blocks[k]
+            heading = re.match(r"h\d", path.rpartition("/")[2])
+            if slot in slots or not heading and (slot, value_of(text)) in values:
+                left_out.add(k)
+    kept = sum(len(text) for _, text, stays in page.blocks if stays)
+    gone = sum(len(page.blocks[k][1]) for k in left_out if page.blocks[k][2])
+    return left_out if gone <= COPIES * kept else set()
