@@ -8,12 +8,13 @@ Search: bit i of a fingerprint has the vector phi(i), cycling through the non-ze
 vectors of GF(2)^(radius+1). For every non-zero v of that space there is one table,
 masked to the bits with <phi(i), v> = 1. Up to `radius` differing bits span less
 than the whole space, so some v is orthogonal to all of them and the pair collides
-in v's table: no pair within the radius is missed. Fingerprints alone in all their
-buckets leave. The others are linked through hubs: each is written under itself and
-its one-bit changes (for radius 2) outside the masks of tables it collides in; two
-fingerprints under one hub differ in at most two bits, and any two that do share a
-hub. A hub holds at most 65 fingerprints whatever the size of a bucket, so no bucket
-is gathered and no pairs of a bucket are listed.
+in v's table: no pair within the radius is missed. Fingerprints alone in a bucket leave
+its table. In each table the others are linked through hubs: each is written under itself
+and its changes in one bit (for radius 2) that the table's mask leaves open; such a change
+stays in the bucket. Two fingerprints under one hub of a table differ in at most two bits,
+and the two bits of a pair that collides there lead both to one hub. The distance is
+verified there, and a link names its table. A hub holds at most 1 + 28 or so fingerprints
+whatever the size of a bucket, so no bucket is gathered and no pairs of it are listed.
 
 Equal fingerprints are one node. Null doc_ids never name a component unless it has
 no other. Repeated rows are linked like any others; an empty table gives no rows.
@@ -99,10 +100,11 @@ def covering_masks(radius: int) -> list[int]:
 
 
 def near_links(prints: DataFrame, radius: int) -> DataFrame:
-    """Links (u, v) between distinct fingerprints `fp` of at most `radius` bits' distance.
+    """Links (u, v, t) between distinct fingerprints `fp` of at most `radius` bits' distance.
 
-    They join exactly the pairs' components: fingerprints of one hub are linked to
-    its least. `radius` is 1 or 2, so that hubs lie one bit away.
+    `t` is the covering table in which the link was found. Links join exactly the pairs'
+    components: fingerprints of one hub are linked to its least. `radius` is 1 or 2, so
+    that hubs lie one bit away.
     """
     if radius not in (1, 2):
         raise ValueError("the radius must be 1 or 2 bits")
@@ -119,18 +121,18 @@ def near_links(prints: DataFrame, radius: int) -> DataFrame:
         placed.select("fp", "t", F.struct("t", "key").alias("bucket")), shared, "bucket", "n",
         F.col("fp"), "inner")
     open_bits = F.element_at(F.array(*[F.bitwise_not(m) for m in bits]), F.col("t") + 1)
-    loose = alive.groupBy("fp").agg(F.bit_or(open_bits).alias("open"))
     flips = F.filter(
         F.array(*[F.lit(signed(1 << i)) for i in range(BITS)]),
-        lambda bit: F.col("open").bitwiseAND(bit) != 0)
+        lambda bit: open_bits.bitwiseAND(bit) != 0)
+    changed = F.transform(flips, lambda bit: F.col("fp").bitwiseXOR(bit))
     if radius == 1:  # a hub would link pairs two bits apart, so one side stays unchanged
-        changed = F.transform(flips, lambda bit: F.col("fp").bitwiseXOR(bit))
-        near = loose.select(F.col("fp").alias("u"), F.explode(changed).alias("v"))
-        return near.join(loose.select(F.col("fp").alias("v")), "v", "left_semi").select("u", "v")
-    hubs = F.concat(F.array("fp"), F.transform(flips, lambda bit: F.col("fp").bitwiseXOR(bit)))
-    under = loose.select("fp", F.explode(hubs).alias("hub"))
-    met = under.groupBy("hub").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return met.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v")
+        near = alive.select("t", F.col("fp").alias("u"), F.explode(changed).alias("v"))
+        links = near.join(alive.select("t", F.col("fp").alias("v")), ["t", "v"], "left_semi")
+    else:
+        under = alive.select("t", "fp", F.explode(F.concat(F.array("fp"), changed)).alias("hub"))
+        met = under.groupBy("t", "hub").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+        links = met.select("t", F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v")
+    return links.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).select("u", "v", "t")
 
 
 def group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
