@@ -1,9 +1,13 @@
-"""Bloom filters over digests, built by Spark tasks and merged by segments."""
+"""Bloom filters over digests, built by Spark tasks and merged by segments.
+
+Keys beyond one filter's bound are cut into ranges with a filter each, see `flag_repeats`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 import numpy as np
@@ -11,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.common import bounded_batches
+from tallyframe.session import scratch_path
 
-#: Bits per key, and the most bits of a filter (32 MiB). A fuller filter lets more
+#: Bits per key, and the most bits of one filter (32 MiB). A fuller filter lets more
 #: rows through to the exact step; no result depends on it.
 BITS_PER_KEY = 16
 MAX_BITS = 1 << 28
@@ -21,6 +26,8 @@ HASHES = 4
 SEGMENT_BYTES = 2048
 #: Parts in which the tasks' copies of one segment are merged first.
 PARTS = 32
+#: Ranges whose filters are built at the same time.
+AT_ONCE = 4
 
 
 def filter_bits(keys: int) -> int:
@@ -31,6 +38,14 @@ def filter_bits(keys: int) -> int:
     return bits
 
 
+def range_count(keys: int) -> int:
+    """Ranges, a power of two, of which each has room for its share of the keys in one filter."""
+    ranges = 1
+    while BITS_PER_KEY * keys > MAX_BITS * ranges:
+        ranges *= 2
+    return ranges
+
+
 def positions(digests: np.ndarray, bits: int) -> np.ndarray:
     """Bit positions (rows, HASHES) of 32-byte digests given as (rows, 4) uint64."""
     first, step = digests[:, 0], digests[:, 1] | np.uint64(1)
@@ -55,6 +70,10 @@ class Bloom:
         spots = positions(digests, self.bits)
         return ((self.held.value[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1).all(axis=1)
 
+    def release(self) -> None:
+        """Drop the broadcast, when nothing that uses it is left to compute."""
+        self.held.destroy()
+
 
 def merge_two(once_a, twice_a, once_b, twice_b):
     """Saturating sum of two counters with the states never, once, twice or more."""
@@ -134,3 +153,35 @@ def with_flag(df: DataFrame, column: str, bloom: Bloom, out: str) -> DataFrame:
                 [*batch.columns, pa.array(flags, pa.bool_())], names=[*batch.schema.names, out])
 
     return df.mapInArrow(test, schema)
+
+
+def flag_repeats(rows: DataFrame, column: str, count: int, out: str) -> DataFrame:
+    """Add the boolean `out`: whether the 32-byte digest in `column` may repeat in the `count` rows.
+
+    While one filter has BITS_PER_KEY bits for every row, it does. Beyond, the rows are
+    written once more, each task dealing its own into files of digest ranges, which shuffles
+    nothing; a range is then read alone, gets a filter of its own, is flagged and stored.
+    So the bits per key stay the same at any size, a task merges copies of its range only,
+    and AT_ONCE filters are alive at a time. `rows` must be stored.
+    """
+    ranges = range_count(count)
+    if ranges == 1:
+        return with_flag(rows, column, build(rows, column, count, repeated=True), out)
+    spark = rows.sparkSession
+    dealt = rows.withColumn("_range", F.pmod(F.xxhash64(column), F.lit(ranges)).cast("int"))
+    sizes = {r["_range"]: r["n"] for r in dealt.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    split, flagged = scratch_path(spark, "digest-ranges"), scratch_path(spark, "flagged")
+    # files are tasks times ranges at most, so the tasks are kept as few as the ranges
+    dealt.coalesce(max(spark.sparkContext.defaultParallelism, ranges)).write.partitionBy("_range").parquet(split)
+
+    def flag(number: int) -> str:
+        part = spark.read.schema(rows.schema).parquet(f"{split}/_range={number}")
+        found = build(part, column, sizes[number], repeated=True)
+        path = f"{flagged}/{number}"
+        with_flag(part, column, found, out).write.parquet(path)
+        found.release()
+        return path
+
+    with ThreadPool(AT_ONCE) as pool:
+        paths = pool.map(flag, sorted(sizes), chunksize=1)
+    return spark.read.parquet(*paths)

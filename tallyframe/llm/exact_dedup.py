@@ -3,7 +3,7 @@
 The first pass hashes every text and counts the hashes in a Bloom filter with the
 states never, once, more often. The second pass tests every hash: rows whose hash
 cannot repeat pass straight through, and only the others shuffle, to be grouped
-exactly. A full filter costs time, never correctness.
+exactly. Hashes beyond the bound of one filter are cut into ranges with a filter each.
 
 Texts are equal when identical after lower-casing A-Z; a null text is an empty one.
 Of equal texts the row with the largest doc_id stays (a null doc_id is smaller than
@@ -49,8 +49,7 @@ def hashes(docs: DataFrame) -> DataFrame:
 def decide(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, rid, sha, row_key, keep_id, group_size, kept."""
     rows = hashes(docs)
-    repeats = bloom.build(rows, "sha", rows.count(), repeated=True)
-    flagged = bloom.with_flag(rows, "sha", repeats, "maybe")
+    flagged = bloom.flag_repeats(rows, "sha", rows.count(), "maybe")
     straight = flagged.where(~F.col("maybe")).select(
         *rows.columns, F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"),

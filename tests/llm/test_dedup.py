@@ -46,6 +46,21 @@ def test_a_full_filter_changes_no_result(documents, monkeypatch):
     assert all(r.group_size == (2 if r.doc_id % 4000 < 2000 else 1) for r in out)
 
 
+def test_ranges_of_hashes_have_filters_of_their_own(documents, monkeypatch):
+    monkeypatch.setattr(bloom, "MAX_BITS", 1 << 16)
+    rows = [(i, f"text {i % 15_000}") for i in range(20_000)] + [(30_000 + i, "hot") for i in range(9_000)]
+    assert bloom.range_count(len(rows)) == 8 and bloom.range_count(4096) == 1
+    hashes = exact_dedup.hashes(documents(rows))
+    flagged = bloom.flag_repeats(hashes, "sha", len(rows), "maybe")
+    assert flagged.columns == [*hashes.columns, "maybe"]
+    passed = flagged.where("maybe").count()
+    assert 19_000 <= passed < 19_500  # all 10,000 repeated rows, the hot ones, and few more
+    out = exact_dedup.decide(documents(rows)).collect()
+    assert len(out) == len(rows) and sum(r.kept for r in out) == 15_001
+    assert all(r.group_size == (9_000 if r.doc_id >= 30_000 else 2 if r.doc_id % 15_000 < 5_000 else 1) for r in out)
+    assert all(r.kept == (r.doc_id == r.keep_id) for r in out)
+
+
 def near_copies(seed):
     random.seed(seed)
     words = [f"w{i}" for i in range(400)]
@@ -82,6 +97,9 @@ def test_links_of_fingerprints_in_one_bucket_match_all_pairs(spark):
     from tallyframe.llm.graph import connected_components
 
     for radius in (1, 2):
+        masks = simhash.covering_masks(radius)
+        links = [(r.u % (1 << 64), r.v % (1 << 64), r.t) for r in simhash.near_links(frame, radius).collect()]
+        assert links and all(0 < (u ^ v).bit_count() <= radius and not (u ^ v) & masks[t] for u, v, t in links)
         docs = [(p, "") for p in prints]
         expected = plain_components(docs, prints, radius)
         got = connected_components(simhash.near_links(frame, radius)).collect()
