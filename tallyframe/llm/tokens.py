@@ -25,6 +25,8 @@ from tallyframe.llm.common import batch_of, bounded_batches, save, texts
 
 #: Pre-tokens whose counts are broadcast: the most frequent ones, a few MiB.
 FREQUENT = 1 << 19
+#: And of their bytes: scripts without blanks have pre-tokens of whole paragraphs.
+FREQUENT_BYTES = 32 << 20
 #: Distinct pre-tokens a task holds before it hands their counts on.
 HELD = 400_000
 SPACE = "▁"
@@ -123,17 +125,19 @@ def piece_counts(words: DataFrame, model_file: str) -> DataFrame:
 
 
 def least_count(vocabulary: DataFrame) -> int:
-    """The count from which on at most FREQUENT pre-tokens are more frequent.
+    """The count from which on pre-tokens are at most FREQUENT, and their bytes at most FREQUENT_BYTES.
 
     Read off a histogram of the counts, eight bins to a power of two, so that no task
     sorts or merges the vocabulary.
     """
     bins = vocabulary.groupBy(F.floor(F.log2("n") * 8).alias("bin")).agg(
-        F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.desc("bin")).collect()
-    held, least = 0, 1 << 62
+        F.count("*").alias("words"), F.min("n").alias("least"),
+        F.sum(F.octet_length("word")).alias("bytes")).orderBy(F.desc("bin")).collect()
+    held, size, least = 0, 0, 1 << 62
     for r in bins:
         held += r.words
-        if held > FREQUENT:
+        size += r.bytes
+        if held > FREQUENT or size > FREQUENT_BYTES:
             break
         least = r.least
     return least

@@ -37,3 +37,12 @@ def test_counts_match_the_library(documents, spark, monkeypatch):
         got = tokens.count_tokens(docs, MODEL).collect()
         assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in got) == expected
     assert tokens.count_tokens(documents([]), MODEL).count() == 0
+
+
+def test_frequent_words_are_bounded_by_bytes(documents, monkeypatch):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    long = "日本語" * 500
+    rows = [(i, f"{long} the of {i}") for i in range(50)]
+    monkeypatch.setattr(tokens, "FREQUENT_BYTES", 1000)  # the paragraph alone passes it
+    got = tokens.count_tokens(documents(rows), MODEL).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(model.encode(t)) for i, t in rows}
