@@ -90,5 +90,13 @@ def only_columns(docs: DataFrame, *needed: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in needed])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no such column, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def same_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])

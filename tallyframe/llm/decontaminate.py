@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallyframe.llm.common import bounded_batches, save, texts
+from tallyframe.llm.common import bounded_batches, free_name, save, texts
 from tallyframe.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -167,13 +167,13 @@ def search_batch(raw: list[bytes], block: Block) -> list[tuple[int, list, list]]
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` with a struct `found`: n_words, spans (first word, word past the end), items."""
+def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, out: str = "found") -> DataFrame:
+    """The rows of `docs` with a struct `out`: n_words, spans (first word, word past the end), items."""
     spark = docs.sparkSession
     bounded_batches(spark)
     listed = save(phrases(benchmark, window), "phrases")
     columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("found", ADDED)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, ADDED)])
     at = columns.index("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +186,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))),
                           ("items", pa.list_(pa.int64()))])
         made = pa.array([dict(zip(names, f, strict=True)) for f in found], kind)
-        return pa.RecordBatch.from_arrays([*batch.columns, made], names=[*columns, "found"])
+        return pa.RecordBatch.from_arrays([*batch.columns, made], names=[*columns, out])
 
     def searcher(held):
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,5 +251,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
-    kept = find(docs.withColumnRenamed("found", "_found"), benchmark).where(F.size("found.spans") == 0)
-    return kept.drop("found").withColumnRenamed("_found", "found")
+    out = free_name(docs, "found")
+    return find(docs, benchmark, out=out).where(F.size(F.col(out).getField("spans")) == 0).drop(out)

@@ -176,10 +176,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, see
 def apply(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED,
 ) -> DataFrame:
-    """The mix itself: every document as often as it is taken, numbered by `repetition` from 1."""
+    """The mix itself: every document as often as it is taken, numbered by `repetition` from 1.
+
+    A given column of that name is replaced; all others are kept.
+    """
     rows = sized(docs, seed)
     plan = thresholds(rows, targets(rows, weights, most))
-    columns = [c for c in docs.columns if c != "repetition"]
+    columns = [c for c in docs.columns if c.lower() != "repetition"]
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")).select(
         "doc", source_key(F.col("doc.source")).alias("key"))
     taken = with_source(held, plan).withColumn("times", times(place_of(F.col("doc.doc_id"), seed)))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallyframe.llm.common import batch_of, bounded_batches, bring_back, save, texts
+from tallyframe.llm.common import batch_of, bounded_batches, bring_back, free_name, save, texts
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -264,8 +264,9 @@ def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(
         save(described(docs.select("doc_id", "text")).withColumn("held_out", in_fold(FOLDS, HELD_OUT)),
              "text-features"), labels)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_keep", T.BooleanType())])
-    names = [*docs.columns, "_keep"]
+    flag = free_name(docs, "keep")
+    schema = T.StructType([*docs.schema.fields, T.StructField(flag, T.BooleanType())])
+    names = [*docs.columns, flag]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,4 +274,4 @@ def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
             keep = model.score(np.c_[x.astype(np.float64), np.ones(batch.num_rows)]) >= THRESHOLD
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keep)], names=names)
 
-    return docs.mapInArrow(judge, schema).where("_keep").drop("_keep")
+    return docs.mapInArrow(judge, schema).where(F.col(flag)).drop(flag)

@@ -98,3 +98,19 @@ def test_the_pipeline_of_empty_tables(spark, documents):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, out, SF)
         assert out.count() == 0, name
+
+
+def test_extra_columns_of_any_name_go_through_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = ["_found", "found", "_keep", "keep", "_row_key", "row_key", "_maybe", "maybe", "key", "doc", "given",
+             "rid", "fp", "n", "_salt", "place", "size", "times", "repetition", "_flag", "Keep_"]
+    more = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id")) for c in extra})
+    for name, stage in corpus_pipeline.STAGES:
+        plain, out = stage(spark, docs, SF), stage(spark, more, SF)
+        carried = [c for c in extra if name != "mixing" or c != "repetition"]
+        assert [c for c in out.columns if c != "repetition"] == [c for c in more.columns if c != "repetition"], name
+        got = out.collect()
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain.collect()), name
+        assert got and all(r[c] == f"{c} {r.doc_id}" for r in got for c in carried), name
+        if name == "mixing":
+            assert all(isinstance(r.repetition, int) for r in got)
