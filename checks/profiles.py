@@ -124,6 +124,17 @@ def frequent_values(spark, sf_dir):
     return profiling.frequent_values(table(spark, sf_dir, "orders"), _FREQUENT, 10)
 
 
+@query("frequent_values_large", _union([f"""
+(SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS "value", count(*) AS n
+ FROM lineitem GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 10)"""
+    for c in ("l_partkey", "l_orderkey", "l_returnflag")]))
+def frequent_values_large(spark, sf_dir):
+    """Frequent values named by sketches: whole ones, recounted ones, and a column of keys, counted in full."""
+    columns = ["l_partkey", "l_orderkey", "l_returnflag"]
+    with lowered(spark, countedRows=0):
+        return profiling.frequent_values(table(spark, sf_dir, "lineitem"), columns, 10).drop("rank")
+
+
 def _mixed(spark, sf_dir):
     """Orders with a boolean, a date text, a timestamp and a number with gaps, NaN and both zeros."""
     return table(spark, sf_dir, "orders").select(

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.materialize import store
 from tallyframe.operators.frequency import top_values
+from tallyframe.operators.heavyhitters import top_counts
 from tallyframe.operators.lookup import attach
 from tallyframe.operators.ordering import running_sum
 from tallyframe.operators.projection import numeric_columns
 from tallyframe.operators.quantiles import as_number, quantile_columns, quantile_names
+from tallyframe.session import limit
 
 
 def present(df: DataFrame, column: str) -> Column:
@@ -210,8 +212,20 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
 
 
 def frequent_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
-    """The `k` most frequent values of each column: column, value, n, rank."""
-    return top_values(frequencies(df, columns), k)
+    """The `k` most frequent values of each column, ties by value: column, value, n, rank.
+
+    Of tables above `spark.tallyframe.countedRows` rows, sketches name the few values that
+    are counted, so no table of all values is shuffled; columns for which they prove
+    nothing are counted in full.
+    """
+    columns = list(columns)
+    if df.count() <= limit(df.sparkSession, "countedRows"):
+        return top_values(frequencies(df, columns), k)
+    cells = df.select(*[present(df, c).cast("string").alias(str(i)) for i, c in enumerate(columns)])
+    counts, unproven = top_counts(cells, columns, k)
+    if unproven:
+        counts = counts.unionByName(frequencies(df, [columns[i] for i in unproven]))
+    return top_values(counts, k)
 
 
 def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float]) -> tuple[np.ndarray, ...]:

@@ -14,6 +14,8 @@ LIMITS = {
     "spark.tallyframe.singleTaskRows": 1_000_000,
     # Largest tree node whose rows go to one task, which grows the subtree.
     "spark.tallyframe.nodeRows": 131_072,
+    # Largest table whose values are counted without a sketch.
+    "spark.tallyframe.countedRows": 5_000_000,
     # Largest number of cells handed to the exact `percentile` aggregate.
     "spark.tallyframe.percentileCells": 5_000_000,
 }
