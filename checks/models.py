@@ -167,6 +167,25 @@ def one_hot_vectors(spark, sf_dir):
     return model.transform(rows).select("row_key", "component_name", slot.cast("bigint").alias("slot"))
 
 
+@query("one_hot_sparse", f"""
+WITH {ISSUES},
+a AS (SELECT product_name, row_number() OVER (ORDER BY product_name) AS at
+      FROM (SELECT DISTINCT product_name FROM issues WHERE product_name <> 'Brand#11')),
+b AS (SELECT assignee_name, row_number() OVER (ORDER BY assignee_name) + (SELECT count(*) FROM a) AS at
+      FROM (SELECT DISTINCT assignee_name FROM issues WHERE product_name <> 'Brand#11')),
+w AS (SELECT (SELECT count(*) FROM a) + (SELECT count(*) FROM b) AS width)
+SELECT row_key, width, concat_ws(',', a.at, b.at) AS slots
+FROM issues LEFT JOIN a USING (product_name) LEFT JOIN b USING (assignee_name), w""")
+def one_hot_sparse(spark, sf_dir):
+    """Vectors of two columns, assembled from joined slots; slots from 1."""
+    rows = issues(spark, sf_dir).select("row_key", "product_name", "assignee_name")
+    code = encoding.fit_slots(rows.where("product_name <> 'Brand#11'"), ["product_name", "assignee_name"])
+    cells = vector_to_array("code")
+    ones = F.filter(F.transform(cells, lambda x, i: F.when(x == 1.0, i + 1)), lambda x: x.isNotNull())
+    return code.vectors(rows).select(
+        "row_key", F.size(cells).cast("bigint").alias("width"), F.array_join(ones, ",").alias("slots"))
+
+
 @query("one_hot_names", f"""
 WITH {ISSUES}
 SELECT DISTINCT 'component_name_' || component_name AS name FROM issues

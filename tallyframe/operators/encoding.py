@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VarianceThresholdSelector,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyframe.materialize import Sized, store
 from tallyframe.operators.lookup import attach
@@ -80,6 +83,43 @@ class CategorySlots:
             df = attach(df, self.table.replace(own), [c])
         return df
 
+    def widths(self) -> list[int]:
+        """Categories of each column."""
+        found = {r["column"]: r["n"] for r in self.table.df.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        return [found.get(c, 0) for c in self.columns]
+
+    def vectors(self, df: DataFrame, out: str = "code") -> DataFrame:
+        """Add the one-hot code of all columns, one after the other, as a sparse vector.
+
+        The slots come by join and become the vector in Arrow batches, so its width
+        is bounded by the vector type alone; a null or unseen category adds no one.
+        """
+        if out in df.columns:
+            raise ValueError(f"there is a column {out!r} already")
+        widths = self.widths()
+        total = sum(widths)
+        if total >= 1 << 31:
+            raise ValueError(f"{total} categories do not fit one vector")
+        firsts = np.cumsum([0, *widths[:-1]]).tolist()
+        slots = F.array_compact(F.array(*[
+            (F.col(f"{c}_slot") + first).cast("int") for c, first in zip(self.columns, firsts, strict=True)]))
+        placed = self.transform(df).withColumn(out, slots).select(*[F.col(f"`{c}`") for c in df.columns], out)
+        form = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())),
+                          ("values", pa.list_(pa.float64()))])
+
+        def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                given = batch.columns[-1]
+                ends = np.cumsum([0, *given.value_lengths().to_pylist()]).astype(np.int32)
+                flat = given.flatten().cast(pa.int32())
+                vector = pa.StructArray.from_arrays([
+                    pa.array(np.zeros(len(given), np.int8)), pa.array(np.full(len(given), total, np.int32)),
+                    pa.ListArray.from_arrays(pa.array(ends), flat),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ones(len(flat))))], fields=list(form))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], vector], names=batch.schema.names)
+
+        return placed.mapInArrow(assemble, T.StructType([*df.schema.fields, T.StructField(out, VectorUDT())]))
+
     def passed(self, rows: int, threshold: float) -> DataFrame:
         """The names of slots whose population variance exceeds `threshold`."""
         share = F.col("n") / F.lit(float(max(1, rows)))
@@ -106,7 +146,7 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX
     """One-hot vectors of all categories in alphabetical order, for pipelines of ML stages.
 
     Such stages keep their categories on the driver, so there is a bound to them;
-    `fit_slots` gives the same code as a table, without one.
+    `fit_slots` gives the same code without one, as a table and as vectors.
 
     Null and unseen categories become all zeros: they are indexed into an extra
     last slot, which the encoder leaves out.

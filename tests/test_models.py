@@ -27,6 +27,37 @@ def test_slots_of_more_categories_than_a_driver_list(spark, bounds):
     assert code.passed(240_000, 0.0).count() == 119_999
 
 
+def test_vectors_of_any_width(spark, bounds):
+    df = spark.range(120_000).select(
+        "id", F.format_string("c%06d", F.col("id")).alias("c"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("d"), F.col("id") % 5)).alias("d"))
+    bounds(broadcastBytes=0, singleTaskRows=50_000)
+    code = encoding.fit_slots(df.where("id <> 7"), ["c", "d"])
+    assert code.widths() == [119_999, 5]
+    found = code.vectors(df)
+    assert found.columns == ["id", "c", "d", "code"]
+    for r in found.where("id < 40 OR id > 119990").collect():
+        wanted = [] if r.id == 7 else [r.id - (r.id > 7)]
+        wanted += [119_999 + r.id % 5] if r.id % 3 else []
+        assert r.code.size == 120_004 and list(r.code.indices) == wanted and list(r.code.values) == [1.0] * len(wanted)
+    assert found.count() == 120_000
+    assembled = VectorAssembler(inputCols=["id", "code"], outputCol="all").transform(found.where("id = 4"))
+    assert assembled.first()["all"].size == 120_005
+    none = encoding.fit_slots(df.limit(0), ["c"]).vectors(df.limit(2)).collect()
+    assert [r.code.size for r in none] == [0, 0]
+
+
+def test_vectors_equal_those_of_the_stages(spark):
+    df = issues(spark, SF).select("row_key", "component_name", "product_name")
+    known = df.where("component_name NOT LIKE 'red%'")
+    columns = ["component_name", "product_name"]
+    model = encoding.fit_one_hot(known, columns)
+    wide = VectorAssembler(inputCols=[f"{c}_code" for c in columns], outputCol="v").transform(model.transform(df))
+    mine = encoding.fit_slots(known, columns).vectors(df, "own")
+    both = wide.select("row_key", "v").join(mine, "row_key").select("v", "own").collect()
+    assert len(both) >= df.count() and all(r.v.toArray().tolist() == r.own.toArray().tolist() for r in both[:500])
+
+
 def dense(df, column):
     return np.array([r[0] for r in df.select(vector_to_array(column)).collect()])
 
