@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +62,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out within each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a table written by a job."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at its end, the scratch tables whose paths are made within it.
+
+    A job that writes its result elsewhere runs in one; a result that is still to
+    be computed must not leave it, as its tables are gone then. Only paths that
+    `scratch_path` has made up are deleted.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
