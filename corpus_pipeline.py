@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm import decontaminate, exact_dedup, mixing, quality, simhash
-from tallyframe.llm.common import bounded_batches, save, table
+from tallyframe.llm.common import bounded_batches, table
+from tallyframe.session import scratch_path, scratch_scope
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the whole documents table."""
+    """Apply all stages to the whole documents table; what a stage stored on its way goes with it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return docs
