@@ -12,7 +12,8 @@ The benchmark is a stated query set: its phrases reach the tasks in blocks of bo
 size, one after the other over the same rows. Documents never shuffle.
 
 Null texts and texts without words have no hits; a null item_id marks hits but is not
-listed; repeated items count once; an empty benchmark hits nothing.
+listed; repeated items count once; an empty benchmark hits nothing. Repeated rows have a
+row each; empty documents give an empty result; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ RATIO of that in the language where it is most frequent. Counts are summed by Sp
 
 Rows with crc32(doc_id) mod FOLDS = HELD_OUT or a null lang teach nothing. A null text,
 or one without letters, is `und` with score 0; so is every text if nothing was learned.
-Ties go to the language first in code point order. Repeated rows count each.
+Ties go to the language first in code point order. Repeated rows count each. An empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

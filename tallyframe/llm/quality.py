@@ -11,7 +11,8 @@ the unlabelled to the positive share above a threshold (best bin).
 All statistics are sums over all training rows: each Newton step is one aggregation
 of (features x features) numbers per task. Rows with crc32(doc_id) mod FOLDS equal to
 HELD_OUT teach nothing. A null text is scored as an empty one; repeated rows count
-each; with no positives at all every score is the same, PRIOR_GUESS.
+each; with no positives at all every score is the same, PRIOR_GUESS. An empty table gives an
+empty result; other columns are ignored by `score` and kept by `apply`, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ verified there, and a link names its table. A hub holds at most 1 + 28 or so fin
 whatever the size of a bucket, so no bucket is gathered and no pairs of it are listed.
 
 Equal fingerprints are one node. Null doc_ids never name a component unless it has
-no other. Repeated rows are linked like any others; an empty table gives no rows.
+no other. Repeated rows are linked like any others; an empty table gives no rows. Other
+columns are ignored by `group` and kept by `apply`, whatever their names.
 """
 
 from __future__ import annotations

@@ -1,4 +1,8 @@
-"""Spans found in whole texts, as rows of the span operators."""
+"""Spans found in whole texts, as rows of the span operators.
+
+Null texts are empty; repeated rows have a row each; an empty table gives an empty
+result; columns other than doc_id and text are ignored.
+"""
 
 from __future__ import annotations
 
