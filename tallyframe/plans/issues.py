@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyframe.plans.features import NUMBERS as FEATURE_INTS
 from tallyframe.sources.tables import spread
 
-FEATURE_INTS = [
-    "resolution_code", "status_code", "quantity_of_votes",
-    "quantity_of_comments", "bug_fix_time", "severity_code",
-]
 NAMES = ["component_name", "product_name", "assignee_name"]
 
 

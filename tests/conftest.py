@@ -41,6 +41,7 @@ def reports(spark):
     """Four raw reports, reduced to the columns cleaning looks at."""
     names = ["component_name", "product_name", "assignee_name", "resolution_code", "status_code",
              "quantity_of_votes", "quantity_of_comments", "bug_fix_time", "severity_code", "reporter_name"]
+    # Fixed values.
     return spark.createDataFrame([
         ("engine", "product_123", "serg.boyko2011", 1, 4, 0, 0, 2, 2, "a"),
         ("UI", "product_69", "sergg.boyko2011", 1, 6, 0, 4, 10, 2, "b"),
