@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from checks.cleaning import CLEAN_SQL
 from checks.registry import ISSUES, query
+from tallyframe.functions.text import normalize
 from tallyframe.materialize import store
 from tallyframe.operators import (
-    components, encoding, groupfeatures, metrics, neighbors, oversampling, sampling,
+    components, encoding, groupfeatures, metrics, neighbors, oversampling, sampling, stages,
     training as trees,
 )
 from tallyframe.operators.boosting import PATIENCE
@@ -21,6 +22,7 @@ from tallyframe.plans import cleaning, features, scoring, training
 from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
 from tallyframe.session import scratch_path
 from tallyframe.sources import records
+from tallyframe.sources.models import load_model, save_model
 from tallyframe.sources.tables import read_table, write_table
 from tallyframe.streaming.scoring import run_available, start_with_rejects
 
@@ -225,6 +227,30 @@ def feature_code(spark, sf_dir):
     return spark.createDataFrame([(n,) for n in code.names], "name string")
 
 
+@query("saved_parts", f"""
+WITH {_PASSED}
+SELECT row_key, (SELECT count(*) FROM passed) AS width,
+       CAST(('assignee_name_' || assignee_name) IN (SELECT name FROM passed) AS INTEGER) AS ones,
+       CAST({' + '.join(f"{c} * (SELECT count(*) FROM passed WHERE name = '{c}')" for c in FEATURE_INTS)} AS BIGINT) AS numbers
+FROM issues""")
+def saved_parts(spark, sf_dir):
+    """Column selection and fitted code, saved, loaded and applied to rows with padded names and a column too few."""
+    rows = issues(spark, sf_dir)
+    fitted = rows.withColumn("assignee_name", normalize(F.col("assignee_name")))
+    code = encoding.fit_features(fitted, FEATURE_INTS, ["assignee_name"], _THRESHOLD)
+    chosen = stages.ColumnSelector(inputCols=["row_key", "absent", *FEATURE_INTS, "assignee_name"], textCols=["assignee_name"])
+    folder = scratch_path(spark, "parts")
+    save_model(PipelineModel([chosen, *code.model.stages]), folder, "code")
+    padded = rows.withColumn("assignee_name", F.concat(F.lit("\t "), F.upper("assignee_name"), F.lit(" ")))
+    made = load_model(folder, "code").transform(padded)
+    cells, numeric = vector_to_array("features"), len(code.numeric)
+    total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
+    return made.select(
+        "row_key", F.size(cells).cast("bigint").alias("width"),
+        total(F.slice(cells, numeric + 1, max(1, len(code.names) - numeric))).cast("int").alias("ones"),
+        total(F.slice(cells, 1, numeric)).cast("bigint").alias("numbers"))
+
+
 @query("category_variance", f"""
 WITH {ISSUES}, t AS (SELECT count(*)::DOUBLE AS total FROM issues),
 c AS (SELECT 'component_name' AS "column", component_name AS "value", count(*) AS n FROM issues GROUP BY 2)
