@@ -228,9 +228,11 @@ def frequent_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataF
     return top_values(counts, k)
 
 
-def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float]) -> tuple[np.ndarray, ...]:
+def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float], weight: str) -> tuple[np.ndarray, ...]:
     """Counts, sums, squares and products of all column pairs, over the rows that have both.
 
+    A row counts as often as its `weight` says.
+
     One scan: a task multiplies the matrix of its rows, without `centre`, with that of their
     presence. (n, s, q, p) are square; s[a, b] and q[a, b] sum a and its square where b is present.
     """
@@ -239,13 +241,17 @@ def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float]) -> tupl
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((4, size, size))
         for batch in batches:
-            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
-            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            *values, counts = batch.columns
+            n = np.asarray(counts, float)[:, None]
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in values]).astype(float)
+            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in values])
             x = np.where(there > 0, x - middle, 0.0)
-            total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+            total += np.stack([(n * there).T @ there, (n * x).T @ there, (n * x * x).T @ there, (n * x).T @ x])
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["sums"])
 
-    parts = df.select(*[as_number(c).alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(local, "sums array<double>")
+    parts = df.select(
+        *[as_number(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(f"`{weight}`").alias("n")
+    ).mapInArrow(local, "sums array<double>")
     added = parts.select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"))
     whole = np.zeros(4 * size * size)
     for row in added.collect():  # four numbers per pair of columns
@@ -253,11 +259,14 @@ def gram(df: DataFrame, columns: Sequence[str], centre: Sequence[float]) -> tupl
     return tuple(whole.reshape(4, size, size))
 
 
-def _pairwise(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+def _pairwise(df: DataFrame, columns: Sequence[str], out: str, weight: str) -> DataFrame:
     """Correlation of each column pair, null without variance: two scans for any number of columns."""
     columns = list(columns)
-    means = df.agg(*[F.avg(as_number(c)).alias(str(i)) for i, c in enumerate(columns)]).first()
-    n, s, q, p = gram(df, columns, [m or 0.0 for m in means])
+    times = F.col(f"`{weight}`")
+    means = df.agg(*[
+        (F.sum(as_number(c) * times) / F.nullif(F.sum(F.when(as_number(c).isNotNull(), times)), F.lit(0))).alias(str(i))
+        for i, c in enumerate(columns)]).first()
+    n, s, q, p = gram(df, columns, [m or 0.0 for m in means], weight)
     rows = []
     with np.errstate(divide="ignore", invalid="ignore"):
         for i, j in combinations(range(len(columns)), 2):
@@ -269,9 +278,9 @@ def _pairwise(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, f"column_a string, column_b string, `{out}` double")
 
 
-def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Distinct values of `column` with their rank, ties sharing the mean rank."""
-    sizes = store(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n")))
+def average_ranks(df: DataFrame, column: str, out: str, weight: str) -> DataFrame:
+    """Distinct values of `column` with their rank, ties sharing the mean rank; `weight` counts a row's copies."""
+    sizes = store(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum(weight).alias("_n")))
     ordered = running_sum(sizes, "_n", [F.asc(column)], "_upto")
     return ordered.select(column, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
 
@@ -279,41 +288,53 @@ def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson and Spearman correlation of each column pair, over the rows that have both.
 
-    Ranks are computed on distinct values and attached to the rows: once per column for
-    the pairs of columns without missing values, per pair for the others.
+    Equal rows are counted first, and all else is done on the distinct ones. Ranks are computed
+    on distinct values and attached to these rows: once per column for the pairs of columns without
+    missing values, per pair for the others.
     """
     columns = list(columns)
-    table = df.select(*[as_number(c).alias(c) for c in columns])
+    weight = "_copies"
+    while weight in columns:
+        weight = f"_{weight}"
+    table = store(df.select(*[as_number(c).alias(c) for c in columns]).groupBy(
+        *[f"`{c}`" for c in columns]).agg(F.count("*").alias(weight))).df
     missing = table.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns]).first()
     full = [c for c in columns if not missing[c]]
-    ranked = table.select(*full)
+    ranked = table.select(*full, weight)
     for c in full:
-        ranked = attach(ranked, average_ranks(table, c, f"_{c}"), [c])
-    ranks = ranked.select(*[F.col(f"_{c}").alias(c) for c in full])
-    spearman = [_pairwise(ranks, full, "spearman")] if len(full) > 1 else []
+        ranked = attach(ranked, average_ranks(table, c, f"_{c}", weight), [c])
+    ranks = ranked.select(*[F.col(f"_{c}").alias(c) for c in full], weight)
+    spearman = [_pairwise(ranks, full, "spearman", weight)] if len(full) > 1 else []
     gapped = [p for p in combinations(columns, 2) if missing[p[0]] or missing[p[1]]]
     if gapped:
-        spearman.append(_spearman_of_pairs(table, gapped))
-    pearson = _pairwise(table, columns, "pearson")
+        spearman.append(_spearman_of_pairs(table, gapped, weight))
+    pearson = _pairwise(table, columns, "pearson", weight)
     return pearson.join(
         F.broadcast(reduce(DataFrame.unionByName, spearman)), ["column_a", "column_b"])
 
 
-def _spearman_of_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+def _spearman_of_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], weight: str) -> DataFrame:
     """Spearman correlation of pairs with missing values, ranked among the rows that have both."""
+    names = ["column_a", "column_b"]
     rows = df.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")) for a, b in pairs
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"`{a}`").alias("a"),
+                 F.col(f"`{b}`").alias("b"), F.col(f"`{weight}`").alias("n")) for a, b in pairs
     ])).alias("e")).select("e.*").where("a IS NOT NULL AND b IS NOT NULL")
-    names = ["column_a", "column_b"]
+    # each pair of values once
+    rows = store(rows.groupBy(*names, "a", "b").agg(F.sum("n").alias("n"))).df
+    # the mean rank of n rows is (n + 1) / 2
+    centre = rows.groupBy(*names).agg(((F.sum("n") + 1) / 2).alias("centre"))
     for side in ("a", "b"):
-        sizes = store(rows.groupBy(*names, side).agg(F.count("*").alias("_n")))
+        sizes = store(rows.groupBy(*names, side).agg(F.sum("n").alias("_n")))
         ordered = running_sum(sizes, "_n", [F.asc(side)], "_upto", names)
         rank = ordered.select(*names, side, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(f"rank_{side}"))
         rows = attach(rows, rank, [*names, side])
     # a pair without a common row still has its line
     wanted = df.sparkSession.createDataFrame(list(pairs), names)
-    found = rows.groupBy(*names).agg(F.corr("rank_a", "rank_b").alias("spearman"))
+    x, y = (F.col(f"rank_{side}") - F.col("centre") for side in ("a", "b"))
+    spread = F.sum(F.col("n") * x * x) * F.sum(F.col("n") * y * y)
+    found = rows.join(F.broadcast(centre), names).groupBy(*names).agg(
+        (F.sum(F.col("n") * x * y) / F.sqrt(F.nullif(spread, F.lit(0.0)))).alias("spearman"))
     return wanted.join(F.broadcast(found), names, "left")
 
 

@@ -166,3 +166,17 @@ def test_lookup_and_missing_pairs(spark):
     assert score_lookup(asked, means, "keep").where("n_components IS NULL").count() == 2
     with pytest.raises(Exception, match="no counts for"):
         score_lookup(asked, means, "error").collect()
+
+
+def test_correlations_count_equal_rows(spark):
+    rows = [(float(i % 7), float(i * i % 11), None if i % 5 == 0 else float(i % 3)) for i in range(40)]
+    rows += [(1.0, 9.0, 2.0)] * 60
+    df = spark.createDataFrame(rows, "a double, b double, _copies double")
+    found = {(r["column_a"], r["column_b"]): (r["pearson"], r["spearman"]) for r in profiling.correlations(df, df.columns).collect()}
+    frame = pd.DataFrame(rows, columns=df.columns)
+    for (a, b), (pearson, spearman) in found.items():
+        both = frame[[a, b]].dropna()
+        assert abs(pearson - both[a].corr(both[b])) < 1e-9
+        assert abs(spearman - both[a].rank().corr(both[b].rank())) < 1e-9
+    wide = spark.createDataFrame([(1.0, None), (1.0, 2.0), (1.0, 3.0)], "a double, b double")
+    assert profiling.correlations(wide, ["a", "b"]).first()["spearman"] is None
