@@ -81,3 +81,20 @@ def test_no_records(spark, tmp_path):
     assert tables.read_csv(spark, str(tmp_path), schema).collect() == []
     (tmp_path / "a.csv").write_text("i\n")
     assert tables.read_csv(spark, str(tmp_path), schema).collect() == []
+
+
+def test_many_small_slices_are_few_tasks(spark, tmp_path):
+    rows = [(i, "a\n" * (i % 40) + "b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    tables.write_table(df.coalesce(1), str(tmp_path), "one", "csv")
+    key = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "256")
+    try:
+        lines = csvsplit.lines_of(spark, f"{tmp_path}/one")
+        tasks = lines.rdd.getNumPartitions()
+        assert tasks <= 4 * spark.sparkContext.defaultParallelism < lines.select("slice").distinct().count()
+        got = tables.read_csv(spark, f"{tmp_path}/one", df.schema)
+        assert sorted((r.id, r.t) for r in got.collect()) == rows
+    finally:
+        spark.conf.set(key, usual)

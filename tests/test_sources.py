@@ -122,3 +122,20 @@ def test_only_small_tables_are_spread(spark, reports, monkeypatch):
 def test_scratch_paths_are_fresh_and_shared(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_folder(spark).rstrip("/"))
+
+
+def test_types_are_those_of_plain_casts(spark):
+    texts = ["1", "-7", "+3", " 4 ", "\t5\n", "2.5", ".5", "5.", "1e3", "-Infinity", "inf", "NaN", "0x1p3", "true", "F", " yes ",
+             "No", "T\r", "x1", "1x", "12 13", "--1", "", "-", "9223372036854775808", "1L", "1.0", "3d", "\x0b6", "y\x1f", "٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind, pattern in tables.LOOKS_LIKE.items():
+        lost = df.where(F.col("t").try_cast(kind).isNotNull() & ~F.col("t").rlike(pattern)).collect()
+        assert lost == [], kind
+    for text, kind in (("7", "bigint"), ("7.5", "double"), ("yes", "boolean"), ("x", "string")):
+        assert tables.infer_types(df.where(F.col("t") == "1").select(F.lit(text).alias("c"))) == {"c": kind}
+
+
+def test_inferred_texts_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,t\n1,x\n2,y\n")
+    plan = tables.read_csv(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "from_csv" not in plan and "MapInArrow" not in plan
