@@ -52,6 +52,16 @@ def _variable_width(column: T.StructField) -> bool:
     )
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes that a row of these columns is counted with."""
+    found = F.lit(16 * max(1, len(schema.fields)))
+    for column in schema.fields:
+        if _variable_width(column):
+            length = F.octet_length(F.col(f"`{column.name}`").cast("string"))
+            found = found + F.coalesce(length, F.lit(0))
+    return found
+
+
 def store(df: DataFrame | Sized, **stats: Column) -> Sized:
     """Write `df` as Parquet to the shared folder and measure it on the way, in one job.
 
@@ -59,12 +69,7 @@ def store(df: DataFrame | Sized, **stats: Column) -> Sized:
     """
     if isinstance(df, Sized):
         return df
-    row_bytes = F.lit(16 * max(1, len(df.columns)))
-    for column in df.schema.fields:
-        if _variable_width(column):
-            length = F.octet_length(F.col(f"`{column.name}`").cast("string"))
-            row_bytes = row_bytes + F.coalesce(length, F.lit(0))
-    measures = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")]
+    measures = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("b")]
     watch, path = Observation(), scratch_path(df.sparkSession, "stored")
     df.observe(watch, *measures).write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)

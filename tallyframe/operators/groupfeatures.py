@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyframe.materialize import Sized, store
+from tallyframe.materialize import Sized, row_bytes, store
 from tallyframe.operators.frequency import group_means
 from tallyframe.operators.lookup import attach
 
@@ -34,10 +34,13 @@ class GroupCounts:
     member: str
 
     def apply(self, df: DataFrame) -> DataFrame:
-        order = df.columns
-        out = attach(df, self.by_component, [self.group, self.component])
-        out = attach(out, self.by_member, [self.group, self.member])
-        out = attach(out, self.by_group, [self.group])
+        order, out = df.columns, df
+        lookups = [
+            (self.by_component, [self.group, self.component]),
+            (self.by_member, [self.group, self.member]), (self.by_group, [self.group])]
+        # Joins that move the rows come first, while these carry no counts.
+        for lookup, keys in sorted(lookups, key=lambda pair: pair[0].broadcastable):
+            out = attach(out, lookup, keys)
         return out.select(*order, *MEASURES)
 
 
@@ -47,21 +50,31 @@ def learn_group_counts(
     """Count in one pass; a group of any size is combined before the shuffle.
 
     Group rows and distinct components are read off the (group, component)
-    counts, so no group is ever gathered in one task.
+    counts, so no group is ever gathered in one task. Either table of counts has its own
+    size, so that many members do not keep few components from being broadcast.
     """
-    counts = store(
+    sets = (
         df.where(F.col(group).isNotNull())
         .groupingSets([[group, component], [group, member]], group, component, member)
         .agg(F.count("*").alias("_n"), F.grouping(member).alias("_component_set"))
     )
-    pairs = counts.df.where("_component_set = 1")
-    members = counts.df.where("_component_set = 0")
+    is_pair = F.col("_component_set") == 1
+
+    def size(chosen, name: str):
+        width = row_bytes(sets.select(group, name, "_n").schema)
+        return F.struct(F.count_if(chosen).alias("rows"), F.coalesce(
+            F.sum(F.when(chosen, width)), F.lit(0)).alias("bytes"))
+
+    counts = store(sets, pairs=size(is_pair, component), members=size(~is_pair, member))
+    pairs, members = (
+        Sized(counts.df.where(chosen), counts.stats[name]["rows"], counts.stats[name]["bytes"])
+        for name, chosen in (("pairs", is_pair), ("members", ~is_pair)))
     return GroupCounts(
-        counts.replace(pairs.where(F.col(component).isNotNull()).select(
+        pairs.replace(pairs.df.where(F.col(component).isNotNull()).select(
             group, component, F.col("_n").alias("n_components"))),
-        counts.replace(members.where(F.col(member).isNotNull()).select(
+        members.replace(members.df.where(F.col(member).isNotNull()).select(
             group, member, F.col("_n").alias("n_assignees"))),
-        counts.reduced(pairs.groupBy(group).agg(
+        pairs.reduced(pairs.df.groupBy(group).agg(
             F.count(component).alias("n_un_components"), F.sum("_n").alias("n_product_rows"))),
         group, component, member,
     )

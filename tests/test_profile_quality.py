@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import profiling, quality
 from tallyframe.operators.groupfeatures import (
-    MEASURES, feature_lookup, group_features, lookup_means, score_lookup,
+    MEASURES, feature_lookup, group_features, learn_group_counts, lookup_means, score_lookup,
 )
 from tallyframe.operators.quantiles import quantile_columns
 
@@ -180,3 +180,22 @@ def test_correlations_count_equal_rows(spark):
         assert abs(spearman - both[a].rank().corr(both[b].rank())) < 1e-9
     wide = spark.createDataFrame([(1.0, None), (1.0, 2.0), (1.0, 3.0)], "a double, b double")
     assert profiling.correlations(wide, ["a", "b"]).first()["spearman"] is None
+
+
+def test_many_members_do_not_keep_few_components_from_being_broadcast(spark, bounds):
+    """And joins that move the rows come before those that do not."""
+    df = spark.range(2000).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias("component_name"), F.concat(F.lit("p"), F.col("id") % 1).alias("product_name"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("member "), F.col("id") % 500)).alias("assignee_name"), "id")
+    counts = learn_group_counts(df)
+    assert counts.by_component.rows == 3 and counts.by_member.rows <= 501
+    assert counts.by_component.bytes <= 3 * 60 and counts.by_member.bytes > 400 * 48
+    bounds(broadcastBytes=10_000)
+    assert counts.by_component.broadcastable and counts.by_group.broadcastable and not counts.by_member.broadcastable
+    applied = counts.apply(df)
+    plan = applied._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert plan.index("BroadcastHashJoin") < plan.index("SortMergeJoin")
+    assert applied.columns == [*df.columns, *MEASURES]
+    found = {r["id"]: tuple(r[m] for m in MEASURES) for r in applied.collect()}
+    assert found[1] == (667, 4, 3, 2000) and found[5] == (666, None, 3, 2000)
