@@ -95,7 +95,8 @@ def features(
             grown = grown.withColumn("is_test", F.lit(False)).unionByName(
                 held_out.withColumn("is_test", F.lit(True)))
         rows = grown
-    encoded = code.model.transform(store(rows).df)
+    # Given rows are a projection of a stored table already.
+    encoded = code.model.transform(rows if resample == "none" else store(rows).df)
     fitted_on = encoded.where(~F.col("is_test")) if extra else encoded
     components = fit_components(fitted_on, "features", k)
     table = component_columns(components.transform(encoded), [label, key, "replica", *extra], k=k)
