@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from tallyframe.operators.groupfeatures import lookup_means
 from tallyframe.operators.stages import CleanNames, GroupLookup, NormalizedNames
 from tallyframe.plans import cleaning, features, scoring, training
 from tallyframe.plans.issues import FEATURE_INTS, as_issues, issues, table
+from tallyframe.sources.models import load_model, save_model
 from tallyframe.streaming.scoring import run_available
 
 SF = "/root/testdata/sf0.001"
@@ -111,6 +112,26 @@ def test_components_match_svd(spark):
     assert np.allclose(sorted(found.tolist()), sorted((centred @ axes.T).tolist()), atol=1e-6)
 
 
+def test_components_of_a_code_are_those_of_its_vectors(spark, tmp_path, monkeypatch):
+    rows = [(i % 7 * 1.0, 1e6 + i * i % 11, ["a", "b", "c", None][i * i % 4], ["u", "v", "w"][i % 3], i % 2 == 0)
+            for i in range(90)]
+    df = spark.createDataFrame(rows, "p double, q double, c string, d string, held boolean")
+    code = encoding.fit_features(df, ["p", "q"], ["c", "d"], 0.01)
+    learn = code.prune(df).where("held")
+    encoded = code.model.transform(code.prune(df))
+    wanted = components.fit_components(code.model.transform(learn), "features", 4)
+    monkeypatch.setattr(PCA, "fit", lambda *a: pytest.fail("vectors were made"))
+    found = components.fit_code_components(learn, code.numeric, code.categories, "features", 4)
+    assert np.allclose(found.stages[0].explainedVariance.toArray(), wanted.stages[0].explainedVariance.toArray())
+    for part in ("mean", "std"):
+        assert np.allclose(*[getattr(m.stages[2], part).toArray() for m in (found, wanted)], atol=1e-6)
+    save_model(found, str(tmp_path), "found")
+    left, right = (dense(m.transform(encoded), "pca") for m in (load_model(str(tmp_path), "found"), wanted))
+    assert np.allclose(left, right, atol=1e-6) and abs(left[::2].mean(axis=0)).max() < 1e-6
+    with pytest.raises(ValueError, match="20 components"):
+        components.fit_code_components(learn, code.numeric, code.categories, "features", 20)
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("b", "c"), ("b", "b"), ("d", None)], "y string, p string")
     assert metrics.micro_f1(df, "y", "p").first()[0] == 0.5
